@@ -98,7 +98,7 @@ def one_row_per_match(stg: DataFrame) -> DataFrame:
 
 def club_dates(stg: DataFrame) -> DataFrame:
     """Season, club and date of both sides of every match."""
-    return unpivot_sides(stg).select("season", "club_id", "date")
+    return unpivot_sides(stg, ("season", "club_id", "date"))
 
 
 def one_match_per_club_per_date(stg: DataFrame) -> DataFrame:

@@ -92,7 +92,9 @@ def opener_and_final(rows: DataFrame, schedule: DataFrame | None = None) -> Data
 
 def fixture_counts(matches: DataFrame) -> DataFrame:
     """Scheduled matches per season and club, played or not."""
-    return unpivot_sides(matches).groupBy("season", "club_id").agg(F.count("*").alias("fixtures"))
+    return unpivot_sides(matches, ("season", "club_id")).groupBy("season", "club_id").agg(
+        F.count("*").alias("fixtures")
+    )
 
 
 def club_stakes(

@@ -16,6 +16,7 @@ from touchline.operators.ordered import UNBOUNDED, numbered
 from touchline.session import stage
 
 CLUB = "opponent_club_id"
+BUCKET_ROWS = 100_000
 
 
 def feature_catalog(spark: SparkSession) -> DataFrame:
@@ -154,13 +155,12 @@ def importance(model: PipelineModel, features: Sequence[str], name: str, run_dat
     )
 
 
-def shuffled(rows: DataFrame, column: str, seed: int, bucket_rows: int = 100_000) -> DataFrame:
+def shuffled(rows: DataFrame, column: str, seed: int, buckets: int) -> DataFrame:
     """Deal one column's values to other rows at random.
 
-    Rows fall into random buckets of about ``bucket_rows``; within one, in another random
-    order, every row takes the value of the next. No row order of the whole table is needed.
+    Rows fall into random buckets; within one, in another random order, every row takes the
+    value of the next. No row order of the whole table is needed.
     """
-    buckets = max(1, rows.count() // bucket_rows)
     order = Window.partitionBy("_bucket").orderBy("_draw", "match_id")
     wrapped = F.first(F.struct(column)).over(order.rowsBetween(UNBOUNDED, Window.unboundedFollowing))
     following = F.coalesce(F.lead(F.struct(column)).over(order), wrapped)
@@ -180,8 +180,10 @@ def permutation_importance(
 ) -> DataFrame:
     """Rise of the holdout's MAE when one feature is dealt out at random."""
     day = dt.date(1970, 1, 1)
+    test = stage(test, "holdout")
+    buckets = 1 + test.count() // BUCKET_ROWS
     parts = [score(model, test, features, "", day)]
-    parts += [score(model, shuffled(test, f, seed), features, f, day) for f in features]
+    parts += [score(model, shuffled(test, f, seed, buckets), features, f, day) for f in features]
     scored = parts[0]
     for part in parts[1:]:
         scored = scored.unionByName(part)

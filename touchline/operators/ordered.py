@@ -33,8 +33,11 @@ def with_chunk(
     Leading parts of a text sort like the text itself, so chunks are consecutive runs of the
     group in ``id_col`` order. The part is as long as the group's common start plus enough
     characters for its size. Only groups above ``rows_per_task`` are listed, at most
-    rows / rows_per_task of them, and the list's real size decides how it is joined.
+    rows / rows_per_task of them, and the list's real size decides how it is joined. A table
+    smaller than one such group needs no list.
     """
+    if df.select(*keys).count() <= rows_per_task:
+        return df.withColumn("chunk", F.lit(""))
     shared = F.size(F.expr(
         "filter(sequence(1, greatest(1, least(length(_lo), length(_hi)))),"
         " i -> left(_lo, i) = left(_hi, i))"

@@ -14,23 +14,28 @@ from pyspark.sql import functions as F
 
 from touchline.functions.values import points
 from touchline.operators.ordered import UNBOUNDED, tally_scores
+from touchline.session import stage
 
 TOTALS = ("pts_before", "gd_before", "gf_before", "played_before")
 SCORE = ("pts_before", "gd_before", "gf_before")
 
 
-def unpivot_sides(matches: DataFrame) -> DataFrame:
-    """Two club rows per match from a single pass over the matches."""
+SIDE_FIELDS = ("match_id", "season", "date", "club_id", "opponent_club_id", "is_home", "gf", "ga", "points")
+
+
+def unpivot_sides(matches: DataFrame, fields: Sequence[str] = SIDE_FIELDS) -> DataFrame:
+    """Two club rows per match from a single pass over the matches.
+
+    Only what ``fields`` needs is put into the rows, so the scan reads no other column.
+    """
     def side(own: str, other: str, is_home: bool):
         gf, ga = F.col(f"{own}_goals"), F.col(f"{other}_goals")
-        return F.struct(
-            "match_id", "season", "date",
-            F.col(f"{own}_club_id").alias("club_id"),
-            F.col(f"{other}_club_id").alias("opponent_club_id"),
-            F.lit(is_home).alias("is_home"),
-            gf.alias("gf"), ga.alias("ga"),
-            F.when(gf.isNotNull() & ga.isNotNull(), points(gf, ga)).alias("points"),
-        )
+        made = {
+            "club_id": F.col(f"{own}_club_id"), "opponent_club_id": F.col(f"{other}_club_id"),
+            "is_home": F.lit(is_home), "gf": gf, "ga": ga,
+            "points": F.when(gf.isNotNull() & ga.isNotNull(), points(gf, ga)),
+        }
+        return F.struct(*[made.get(f, F.col(f)).alias(f) for f in fields])
 
     return matches.select(F.inline(F.array(side("home", "away", True), side("away", "home", False))))
 
@@ -41,7 +46,8 @@ def played(matches: DataFrame) -> DataFrame:
 
 def club_days(matches: DataFrame) -> DataFrame:
     """Scheduled and played matches, points and goals per season, club and date."""
-    return unpivot_sides(matches).groupBy("season", "club_id", "date").agg(
+    sides = unpivot_sides(matches, ("season", "club_id", "date", "gf", "ga", "points"))
+    return sides.groupBy("season", "club_id", "date").agg(
         F.count("*").alias("scheduled"),
         F.count("points").alias("played"),
         F.coalesce(F.sum("points"), F.lit(0)).alias("points"),
@@ -87,7 +93,8 @@ def club_date_grid(club_dates: DataFrame) -> DataFrame:
     """Every club of a conference on every match date of that conference's season.
 
     The dates of a season form one short array (a year's days at most), so the join matches
-    each club-season with one row and the grid grows out of it locally.
+    each club-season with one row. The grid then grows out of it
+    locally.
     """
     dates = distinct_dates(club_dates).groupBy("season", "conference").agg(
         F.collect_list("date").alias("_dates")
@@ -100,13 +107,20 @@ def club_date_grid(club_dates: DataFrame) -> DataFrame:
 
 
 def full_field(matches: DataFrame, clubs: DataFrame) -> DataFrame:
-    """Totals of every club on every match date of its conference, with its matches that day."""
-    days = with_conference(club_days(matches), clubs)
-    zero = {c: 0 for c in ("scheduled", "played", "points", "gd", "gf")}
-    grid = club_date_grid(days).join(
-        days.drop("conference"), ["season", "club_id", "date"], "left"
-    ).fillna(zero)
-    return running_totals(grid, keep=("conference", "scheduled"))
+    """Totals of every club on every match date of its conference, with its matches that day.
+
+    The club-days are written once: they are all that is needed of the matches, and a fraction
+    of their size. Empty grid rows and club-days are then summed together, partitioned by
+    club-season as the running totals need them.
+    """
+    days = stage(with_conference(club_days(matches), clubs), "club-days")
+    figures = ("scheduled", "played", "points", "gd", "gf")
+    empty = club_date_grid(days).select("*", *[F.lit(0).cast("bigint").alias(c) for c in figures])
+    filled = (
+        empty.unionByName(days).repartition("season", "club_id")
+        .groupBy("season", "conference", "club_id", "date").agg(*[F.sum(c).alias(c) for c in figures])
+    )
+    return running_totals(filled, keep=("conference", "scheduled"))
 
 
 def int_standings(matches: DataFrame, clubs: DataFrame, field: str = "full") -> DataFrame:
@@ -123,7 +137,8 @@ def int_standings(matches: DataFrame, clubs: DataFrame, field: str = "full") ->
 
 def final_table(matches: DataFrame) -> DataFrame:
     """Points, goal difference and goals per season and club."""
-    return unpivot_sides(played(matches)).groupBy("season", "club_id").agg(
+    sides = unpivot_sides(played(matches), ("season", "club_id", "gf", "ga", "points"))
+    return sides.groupBy("season", "club_id").agg(
         F.sum("points").alias("pts"),
         F.sum(F.col("gf") - F.col("ga")).alias("gd"),
         F.sum("gf").alias("gf"),

@@ -109,5 +109,5 @@ FROM mart WHERE attendance IS NOT NULL AND NOT is_covid_affected"""))
 def shuffled(spark: SparkSession, sf: str) -> DataFrame:
     """Dealing a column out keeps its values: same count, same sum."""
     rows = learn.training_frame(b.mart(spark, sf))
-    dealt = learn.shuffled(rows, "attendance", 42, bucket_rows=1000)
+    dealt = learn.shuffled(rows, "attendance", 42, buckets=8)
     return dealt.agg(F.sum("attendance").alias("total"), F.count("*").alias("n")).withColumn("moved_total", F.lit(0))

@@ -21,6 +21,7 @@ def build_session(app: str = "touchline", cpus: int | str = "*", shuffle: int =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TOUCHLINE_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
