@@ -20,7 +20,7 @@ FIELDS = (
 
 def documents(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """Response bodies with their file. ``per_line`` reads compacted files, a body per line."""
-    text = spark.read.option("wholetext", not per_line).option("recursiveFileLookup", True).text(path)
+    text = spark.read.format("text").option("wholetext", not per_line).option("recursiveFileLookup", True).load(path)
     return text.select(
         F.col("value").alias("body"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_modification_time").alias("ingested_at"),
