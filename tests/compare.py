@@ -24,10 +24,14 @@ def connect(sf: str):
     return con
 
 
+# Spark type names and the SQL type names that mean the same.
+SAME_TYPE = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+}
+
+
 def canonical(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.9g}"
-    return str(value)
+    return "nan" if isinstance(value, float) and math.isnan(value) else repr(value)
 
 
 def rows_of(names: list[str], rows) -> list[tuple]:
@@ -41,6 +45,10 @@ def compare(df, con, statement: str) -> str | None:
     theirs_names = list(result.columns)
     if sorted(df.columns) != sorted(theirs_names):
         return f"columns {sorted(df.columns)} vs {sorted(theirs_names)}"
+    theirs_types = dict(zip(theirs_names, map(str, result.types)))
+    unlike = {c: (t, theirs_types[c]) for c, t in df.dtypes if SAME_TYPE.get(t, t) != theirs_types[c]}
+    if unlike:
+        return f"types {unlike}"
     ours = rows_of(df.columns, [tuple(r) for r in df.collect()])
     theirs = rows_of(theirs_names, result.fetchall())
     if len(ours) != len(theirs):

@@ -98,13 +98,13 @@ def test_written_archive_reads_back(spark, folder, tmp_path):
 
 
 def test_reference_files(spark, tmp_path):
-    (tmp_path / "club_aliases.csv").write_text("raw_name,club_id,note\n Tampa  Bay ,tampa,old\n93,x,\n")
+    (tmp_path / "club_aliases.csv").write_text("raw_name,club_id,note\n North  Town ,north,old\n93,x,\n")
     (tmp_path / "club_conference.csv").write_text("club_id,season,conference,note\nx,2019,East,\n")
-    (tmp_path / "derbies.csv").write_text("club_id_a,club_id_b,note\nx,tampa,\n")
+    (tmp_path / "derbies.csv").write_text("club_id_a,club_id_b,note\nx,north,\n")
     (tmp_path / "seasons.csv").write_text("season,season_id,note\n2019,1625,\n")
     (tmp_path / "stadiums.csv").write_text("club_id,stadium,lat,lon,valid_from,valid_to,note\nx,Park,1.5,2,2017-01-01,2099-12-31,\n")
     ref = tables.read_reference(spark, str(tmp_path))
-    assert [(r.raw_name, r.club_id) for r in ref["club_aliases"].collect()] == [("Tampa Bay", "tampa"), ("93", "x")]
+    assert [(r.raw_name, r.club_id) for r in ref["club_aliases"].collect()] == [("North Town", "north"), ("93", "x")]
     assert one(ref["seasons"]).season_id == "1625" and one(ref["stadiums"]).lat == "1.5"
 
 

@@ -203,6 +203,7 @@ def train_all(mart: DataFrame, run_date: dt.date, drop_covid: bool = True, **tre
         predictions = predictions.unionByName(score(model, test, features, name, run_date))
         found = importance(model, features, name, run_date, spark)
         gains = found if gains is None else gains.unionByName(found)
+    predictions = stage(predictions, "predictions")
     metrics = error_metrics(predictions, train.count())
     return {"predictions": predictions, "model_metrics": metrics, "feature_importance": gains}
 
