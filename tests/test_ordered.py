@@ -101,17 +101,18 @@ def test_asof_includes_the_most_recent_earlier_match(spark):
     assert got == {9: 3, 2: None}
 
 
-def test_order_statistics_equal_sorting(spark):
+@pytest.mark.parametrize("rows_per_task", [20, 10**6])
+def test_order_statistics_equal_sorting(spark, rows_per_task):
     rng = random.Random(2)
     rows = [("hot" if k % 3 else "x", rng.choice([-1, 1]) * rng.random() * 10 ** rng.randint(0, 6)) for k in range(500)]
-    rows += [("hot", 5.0)] * 200 + [("x", None), ("n", None)]
+    rows += [("hot", 5.0)] * 200 + [("x", None), ("n", None)] + [("x", 1e9 + k / 7) for k in range(300)]
     ranks = {"lo": F.lit(0), "mid": F.floor(F.col("n") / 2), "hi": F.col("n") - 1}
-    got = order_statistics(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", ranks).collect()
+    got = order_statistics(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", ranks, rows_per_task).collect()
     assert {r.g for r in got} == {"hot", "x"}
     for r in got:
         values = sorted(v for g, v in rows if g == r.g and v is not None)
         assert (r.n, r.lo, r.mid, r.hi) == (len(values), values[0], values[len(values) // 2], values[-1])
-    total = order_statistics(spark.createDataFrame(rows, "g string, v double"), [], "v", ranks).first()
+    total = order_statistics(spark.createDataFrame(rows, "g string, v double"), [], "v", ranks, rows_per_task).first()
     values = sorted(v for _, v in rows if v is not None)
     assert (total.n, total.mid) == (len(values), values[len(values) // 2])
 

@@ -183,41 +183,62 @@ def tally_scores(table: DataFrame, scope: Sequence[str], score: Sequence[str]) -
     )
 
 
-def order_statistics(df: DataFrame, by: Sequence[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+def order_statistics(
+    df: DataFrame, by: Sequence[str], value: str, ranks: dict[str, Column], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Exact order statistics per group: ``ranks`` maps a name to a 0-based rank of ``n``.
 
-    Counting the values of coarse, order-keeping buckets locates each rank; only the buckets
-    that hold one are then counted value by value. No group is sorted whole. Groups appear
-    with ``n`` and one column per name.
+    Each rank starts with the range of its whole group. A range that holds too many rows is cut
+    into bins; counting the bins tells which one holds the rank, and that bin's own extremes
+    are the next range. Only ranges of at most ``rows_per_task`` rows are counted value by
+    value. Groups appear with ``n`` and one column per name.
     """
-    by = list(by)
-    group = by or ["_all"]
+    group = list(by) or ["_all"]
     rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     if not by:
         rows = rows.withColumn("_all", F.lit(1))
-    magnitude = F.floor(F.log2(F.abs("_v") + 1) * 64)
-    rows = rows.withColumn("_bucket", F.signum("_v") * magnitude)
-    upto = F.sum("_n").over(Window.partitionBy(*group).orderBy("_bucket").rowsBetween(UNBOUNDED, 0))
     wanted = F.explode(F.array(*[
         F.struct(F.lit(name).alias("name"), rank.cast("bigint").alias("at")) for name, rank in ranks.items()
     ]))
-    found = (
-        rows.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))
-        .withColumn("_upto", upto)
-        .withColumn("n", F.sum("_n").over(Window.partitionBy(*group)))
-        .withColumn("_want", wanted)
-        .filter("_want.at < _upto and _want.at >= _upto - _n")
-        .select(*group, "_bucket", "n", F.col("_want.name").alias("_name"),
-                (F.col("_want.at") - (F.col("_upto") - F.col("_n"))).alias("_at"))
+    ranges = stage(
+        rows.groupBy(*group)
+        .agg(F.count("*").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        .select(*group, "n", "_lo", "_hi", F.col("n").alias("_in"), wanted.alias("_w"))
+        .select(*group, "n", "_lo", "_hi", "_in", F.col("_w.name").alias("_name"), F.col("_w.at").alias("_at")),
+        "rank-ranges",
+    )
+    too_large = (F.col("_in") > rows_per_task) & (F.col("_lo") < F.col("_hi"))
+    # Logarithmic bins first, for values of very different size; then equal steps.
+    cut = F.signum("_v") * F.floor(F.log2(F.abs("_v") + 1) * 64)
+    while not ranges.filter(too_large).isEmpty():
+        found = _narrowed(rows, ranges.filter(too_large), group, cut)
+        ranges = stage(ranges.filter(~too_large).unionByName(found), "rank-ranges")
+        cut = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * 4096)
+    found = _narrowed(rows, ranges, group, F.col("_v"))
+    picks = [F.max(F.when(F.col("_name") == name, F.col("_lo"))).alias(name) for name in ranks]
+    return found.groupBy(*group).agg(F.max("n").alias("n"), *picks).drop("_all")
+
+
+def _narrowed(rows: DataFrame, ranges: DataFrame, group: Sequence[str], cut: Column) -> DataFrame:
+    """Each range replaced by the part of it, as cut by ``cut``, in which its rank falls.
+
+    Rows are counted once per distinct range, whatever number of ranks looks into it.
+    """
+    span = [*group, "_lo", "_hi"]
+    parts = (
+        rows.join(ranges.select(*span).distinct(), list(group))
+        .filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        .groupBy(*span, cut.alias("_part"))
+        .agg(F.count("*").alias("_k"), F.min("_v").alias("_from"), F.max("_v").alias("_to"))
     )
-    found = stage(found, "rank-buckets")
-    seen = F.sum("_k").over(Window.partitionBy(*group, "_bucket").orderBy("_v").rowsBetween(UNBOUNDED, 0))
-    hits = (
-        rows.join(found.select(*group, "_bucket").distinct(), [*group, "_bucket"], "left_semi")
-        .groupBy(*group, "_bucket", "_v").agg(F.count("*").alias("_k"))
-        .withColumn("_seen", seen)
-        .join(found, [*group, "_bucket"])
-        .filter("_at < _seen and _at >= _seen - _k")
+    steps = Window.partitionBy(*span).orderBy("_part").rowsBetween(UNBOUNDED, 0)
+    start = F.col("_upto") - F.col("_k")
+    return (
+        parts.withColumn("_upto", F.sum("_k").over(steps))
+        .join(ranges, span)
+        .filter((F.col("_at") < F.col("_upto")) & (F.col("_at") >= start))
+        .select(
+            *group, "n", F.col("_from").alias("_lo"), F.col("_to").alias("_hi"), F.col("_k").alias("_in"), "_name",
+            (F.col("_at") - start).alias("_at"),
+        )
     )
-    picks = [F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks]
-    return hits.groupBy(*group).agg(F.max("n").alias("n"), *picks).drop("_all")
