@@ -106,6 +106,7 @@ def test_order_statistics_equal_sorting(spark, rows_per_task):
     rng = random.Random(2)
     rows = [("hot" if k % 3 else "x", rng.choice([-1, 1]) * rng.random() * 10 ** rng.randint(0, 6)) for k in range(500)]
     rows += [("hot", 5.0)] * 200 + [("x", None), ("n", None)] + [("x", 1e9 + k / 7) for k in range(300)]
+    rows += [("x", float("inf"))] * 2
     ranks = {"lo": F.lit(0), "mid": F.floor(F.col("n") / 2), "hi": F.col("n") - 1}
     got = order_statistics(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", ranks, rows_per_task).collect()
     assert {r.g for r in got} == {"hot", "x"}

@@ -194,7 +194,7 @@ def order_statistics(
     value. Groups appear with ``n`` and one column per name.
     """
     group = list(by) or ["_all"]
-    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
     if not by:
         rows = rows.withColumn("_all", F.lit(1))
     wanted = F.explode(F.array(*[
@@ -213,7 +213,8 @@ def order_statistics(
     while not ranges.filter(too_large).isEmpty():
         found = _narrowed(rows, ranges.filter(too_large), group, cut)
         ranges = stage(ranges.filter(~too_large).unionByName(found), "rank-ranges")
-        cut = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * 4096)
+        steps = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * 4096)
+        cut = F.when(F.col("_v") < F.col("_hi"), steps).otherwise(4096)
     found = _narrowed(rows, ranges, group, F.col("_v"))
     picks = [F.max(F.when(F.col("_name") == name, F.col("_lo"))).alias(name) for name in ranks]
     return found.groupBy(*group).agg(F.max("n").alias("n"), *picks).drop("_all")
