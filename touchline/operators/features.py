@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,19 +49,21 @@ def _mean(values: Sequence[Column]) -> Column:
     return total / F.nullif(count, F.lit(0))
 
 
-def same_fixture_last_season(
-    rows: DataFrame, mask: Bounds | None = None, history: DataFrame | None = None
-) -> DataFrame:
-    """Mean gate of the same pairing at the same ground one season earlier.
+PAIRING = ("season", "home_club_id", "away_club_id")
+HOME_SEASON = ("season", "home_club_id")
 
-    Averaging first keeps one row per pairing, so several meetings cannot fan out. ``history``
-    holds the matches to average where ``rows`` already carries computed columns.
-    """
-    pairing = ["season", "home_club_id", "away_club_id"]
-    figures = (rows if history is None else history).filter(~in_range(F.col("date"), mask)).groupBy(*pairing).agg(
+
+def pairing_means(matches: DataFrame, mask: Bounds | None = None) -> DataFrame:
+    """Mean gate per pairing, labelled with the season after; one row however often they met."""
+    means = matches.filter(~in_range(F.col("date"), mask)).groupBy(*PAIRING).agg(
         F.avg("attendance").alias("same_fixture_last_season")
-    ).withColumn("season", F.col("season") + 1)
-    return rows.join(stage(figures, "pairings"), pairing, "left")
+    )
+    return stage(means.withColumn("season", F.col("season") + 1), "pairings")
+
+
+def same_fixture_last_season(matches: DataFrame, mask: Bounds | None = None) -> DataFrame:
+    """Mean gate of the same pairing at the same ground one season earlier."""
+    return matches.join(pairing_means(matches, mask), list(PAIRING), "left")
 
 
 def with_derby(matches: DataFrame, derbies: DataFrame, home: str = "home_club_id", away: str = "away_club_id") -> DataFrame:
@@ -78,28 +81,36 @@ def with_derby(matches: DataFrame, derbies: DataFrame, home: str = "home_club_id
     )
 
 
-def opener_and_final(rows: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
-    """Flag a club's first and last scheduled home match of the season.
+def season_ends(matches: DataFrame) -> DataFrame:
+    """A club's first and last scheduled home match per season.
 
     The first and last day come from a hash aggregate over all matches; ids are compared only
     among the matches of those two days.
     """
-    club = ["season", "home_club_id"]
-    schedule = (rows if schedule is None else schedule).select(*club, "date", "match_id")
+    schedule = matches.select(*HOME_SEASON, "date", "match_id")
     days = stage(
-        schedule.groupBy(*club).agg(F.min("date").alias("_from"), F.max("date").alias("_to")), "season-days"
+        schedule.groupBy(*HOME_SEASON).agg(F.min("date").alias("_from"), F.max("date").alias("_to")), "season-days"
     )
     on_first, on_last = F.col("date") == F.col("_from"), F.col("date") == F.col("_to")
-    ends = schedule.join(days, club).filter(on_first | on_last).groupBy(*club).agg(
+    ends = schedule.join(days, list(HOME_SEASON)).filter(on_first | on_last).groupBy(*HOME_SEASON).agg(
         F.min(F.when(on_first, F.col("match_id"))).alias("_first"),
         F.max(F.when(on_last, F.col("match_id"))).alias("_last"),
     )
-    return rows.join(stage(ends, "season-ends"), club, "left").withColumns({
+    return stage(ends, "season-ends")
+
+
+def with_season_ends(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    return rows.join(ends, list(HOME_SEASON), "left").withColumns({
         "is_season_opener": F.coalesce(F.col("match_id") == F.col("_first"), F.lit(False)),
         "is_final_home_match": F.coalesce(F.col("match_id") == F.col("_last"), F.lit(False)),
     }).drop("_first", "_last")
 
 
+def opener_and_final(matches: DataFrame) -> DataFrame:
+    """Flag a club's first and last scheduled home match of the season."""
+    return with_season_ends(matches, season_ends(matches))
+
+
 def fixture_counts(matches: DataFrame) -> DataFrame:
     """Scheduled matches per season and club, played or not."""
     return unpivot_sides(matches, ("season", "club_id")).groupBy("season", "club_id").agg(
@@ -179,11 +190,18 @@ def mart_match_features(
 
     ``include_unplayed`` keeps fixtures without a result, which forecasts need.
     """
-    stakes = stage(
-        club_stakes(matches, clubs, playoff_spots, relegation_spots).filter("scheduled > 0"), "stakes"
-    )
-    rows = lags(matches, lags_by_season, mask, rows_per_task)
-    rows = opener_and_final(same_fixture_last_season(rows, mask, history=matches), schedule=matches)
+    def own_days() -> DataFrame:
+        table = club_stakes(matches, clubs, playoff_spots, relegation_spots)
+        return stage(table.filter("scheduled > 0"), "stakes")
+
+    # The side tables do not depend on each other, so their jobs share the cluster.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        stakes, means, ends = (
+            pool.submit(own_days), pool.submit(pairing_means, matches, mask), pool.submit(season_ends, matches)
+        )
+        rows = lags(matches, lags_by_season, mask, rows_per_task)
+    rows = with_season_ends(rows.join(means.result(), list(PAIRING), "left"), ends.result())
+    stakes = stakes.result()
     if not include_unplayed:
         rows = played(rows)
     own = {c: c for c in (
