@@ -128,12 +128,11 @@ def seasons(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def derbies(spark: SparkSession, sf: str) -> DataFrame:
-    """Each even nation and the next one."""
+    """Each nation and the next one."""
     nation = table(spark, sf, "nation")
     other = nation.select(F.col("n_nationkey").alias("_k"), club_id().alias("club_id_b"))
     return (
-        nation.filter("n_nationkey % 2 = 0")
-        .join(other, (F.col("n_nationkey") + 1) % CLUBS == F.col("_k"))
+        nation.join(other, (F.col("n_nationkey") + 1) % CLUBS == F.col("_k"))
         .select(club_id().alias("club_id_a"), "club_id_b")
     )
 

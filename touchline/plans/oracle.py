@@ -42,7 +42,7 @@ club_conference AS (
 ),
 derbies AS (
   SELECT lower(a.n_name) AS club_id_a, lower(b.n_name) AS club_id_b
-  FROM nation a JOIN nation b ON (a.n_nationkey + 1) % 25 = b.n_nationkey WHERE a.n_nationkey % 2 = 0
+  FROM nation a JOIN nation b ON (a.n_nationkey + 1) % 25 = b.n_nationkey
 ),
 stadiums AS (
   SELECT lower(n_name) AS club_id, 'Old Ground ' || CAST(n_nationkey AS VARCHAR) AS stadium, n_nationkey * 1.5 AS lat,
