@@ -19,8 +19,8 @@ RAW = "match_id string, season int, date string, home_raw string, away_raw strin
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("touchline-tests", 8, 4)
+def spark(tmp_path_factory):
+    session = build_session("touchline-tests", 8, 4, str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
 

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_base: str | None = None
 
-
-def build_session(app: str = "touchline", cpus: int | str = "*", shuffle: int = 8) -> SparkSession:
+def build_session(
+    app: str = "touchline", cpus: int | str = "*", shuffle: int = 8, scratch: str = "spark-warehouse/scratch"
+) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -20,6 +19,7 @@ def build_session(app: str = "touchline", cpus: int | str = "*", shuffle: int =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TOUCHLINE_DRIVER_MEMORY", "8g"))
+        .config("spark.checkpoint.dir", os.path.abspath(scratch))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -29,20 +29,12 @@ def build_session(app: str = "touchline", cpus: int | str = "*", shuffle: int =
 
 
 def scratch_base(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or a folder of the warehouse.
 
-    Only a local-mode session without that setting falls back to a temporary folder: on a
-    cluster executors could not see it.
+    Both are storage that every executor sees; a machine's own temporary folder is not.
     """
-    global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_base is None:
-        _local_base = tempfile.mkdtemp(prefix="touchline-")
-    return _local_base
+    return base.rstrip("/") if base else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
