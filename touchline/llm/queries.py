@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import sharding, simhash
+from touchline.llm import bpe, packing, sharding, simhash
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Vocabularies of public tokenizers; the operators take their contents as a parameter.
+RANKS, WORDS = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
+
+
 def _query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -27,7 +32,20 @@ def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
+    definition = packing.read_definition(public_tokenizers.path(WORDS))
+    return packing.pack(table(spark, sf, "documents"), definition)
+
+
 @_query
 def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+@_query
+def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    with open(public_tokenizers.path(RANKS), "rb") as file:
+        ranks = file.read()
+    return bpe.digests(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
