@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, packing, sharding, simhash
+from touchline.llm import bpe, embeddings, packing, sharding, simhash
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+@_query
+def op9_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf, "embeddings"))
+
+
 @_query
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     with open(public_tokenizers.path(RANKS), "rb") as file:
