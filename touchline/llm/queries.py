@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, embeddings, packing, sharding, simhash
+from touchline.llm import bpe, embeddings, fingerprints, packing, sharding, simhash, toxicity
 from touchline.llm.common import table
+from touchline.llm.words import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +33,19 @@ def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    out = held_out(F.col("doc_id"), 5, 0)
+    found = toxicity.score(docs, toxicity.train(docs, labels, ~out))
+    return found.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@_query
+def op4_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf, "documents"))
+
+
 @_query
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     definition = packing.read_definition(public_tokenizers.path(WORDS))
