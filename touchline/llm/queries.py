@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, embeddings, fingerprints, packing, sharding, simhash, toxicity
+from touchline.llm import bpe, embeddings, fingerprints, packing, quality, sharding, simhash, toxicity
 from touchline.llm.common import table
 from touchline.llm.words import held_out
 
@@ -58,6 +58,14 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+@_query
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    out = held_out(F.col("doc_id"), 3, 1)
+    found = quality.score(docs, quality.train(docs, labels, ~out))
+    return found.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 @_query
 def op9_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf, "embeddings"))
