@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, embeddings, fingerprints, packing, quality, sharding, simhash, toxicity
+from touchline.llm import bpe, embeddings, fingerprints, packing, pii, quality, sharding, simhash, toxicity
 from touchline.llm.common import table
 from touchline.llm.words import held_out
 
@@ -33,6 +33,11 @@ def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf, "documents"))
+
+
 @_query
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
