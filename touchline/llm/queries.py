@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, embeddings, fingerprints, packing, pii, quality, sharding, simhash, toxicity
+from touchline.llm import bpe, embeddings, fingerprints, packing, pii, quality, sharding, simhash, toxicity, warc
 from touchline.llm.common import table
 from touchline.llm.words import held_out
 
@@ -51,6 +51,56 @@ def op4_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf, "documents"))
 
 
+@_query
+def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
+    merged = F.array_join(F.transform(F.map_entries("merged"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return warc.resolve(warc.records_of(table(spark, sf, "pages"))).select(
+        "record_id", "kind", "canonical", F.col("at").cast("bigint").alias("fetched_at"), "status", "source_id",
+        merged.alias("merged"),
+    )
+
+
+ORACLE["op5_warc"] = r"""
+WITH page AS (
+  SELECT page_id, url, '"' || md5(html) || '"' AS tag, CAST(strlen(html) AS VARCHAR) AS size, page_id * 600 + 1600000000 AS t FROM pages
+), record AS (
+  SELECT page_id * 4 + k AS record_id, k, CASE WHEN k = 0 THEN 'response' ELSE 'revisit' END AS kind, url, t + k * 3600 AS fetched_at,
+    tag, size, strftime(make_timestamp(t * 1000000), '%Y-%m-%d %H:%M:%S') AS modified,
+    strftime(make_timestamp((t + k * 3600) * 1000000), '%Y-%m-%d %H:%M:%S') AS date
+  FROM page, (VALUES (0), (1), (2), (3)) AS v(k)
+), bare AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '^[^/?@]*@', '') AS b FROM record
+), named AS (
+  SELECT *, regexp_replace(lower(regexp_extract(b, '^[^/?]*', 0)), ':(80|443)$|\.$', '')
+      || regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1), '/+$', '') AS stem,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(b, '\?(.*)$', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|gclid|fbclid|ref)(=|$)'))), '&') AS q
+  FROM bare
+), placed AS (
+  SELECT *, stem || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS canonical FROM named
+), pair AS (
+  SELECT a.record_id, r.record_id AS source_id, r.tag AS stored_tag, r.modified AS stored_modified, r.size AS stored_size, r.date AS stored_date,
+    row_number() OVER (PARTITION BY a.record_id ORDER BY r.fetched_at DESC, r.record_id DESC) AS n
+  FROM placed a JOIN placed r ON a.canonical = r.canonical AND r.fetched_at < a.fetched_at AND r.k = 0
+  WHERE a.k > 0
+), answer AS (
+  SELECT p.*, m.source_id, m.stored_tag, m.stored_modified, m.stored_size,
+    CASE WHEN p.k = 0 THEN 'full' WHEN m.source_id IS NULL THEN 'unmatched'
+      WHEN p.k = 1 THEN CASE WHEN p.tag = m.stored_tag THEN 'resolved' ELSE 'changed' END
+      WHEN p.k = 2 THEN 'changed'
+      ELSE CASE WHEN p.modified = m.stored_modified THEN 'resolved' ELSE 'changed' END END AS status
+  FROM placed p LEFT JOIN pair m ON p.record_id = m.record_id AND m.n = 1
+)
+SELECT record_id, kind, canonical, fetched_at, status,
+  CASE WHEN k = 0 THEN record_id WHEN status = 'resolved' THEN source_id END AS source_id,
+  CASE WHEN k = 0 THEN 'content-length=' || size || ';content-type=text/html;date=' || date || ';etag=' || tag || ';last-modified=' || modified
+    WHEN status <> 'resolved' THEN NULL
+    ELSE CASE WHEN k = 1 THEN 'cache-control=max-age=60;' ELSE '' END || 'content-length=' || stored_size
+      || ';content-type=text/html;date=' || date || ';etag=' || stored_tag || ';last-modified=' || stored_modified END AS merged
+FROM answer
+"""
+
+
 @_query
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     definition = packing.read_definition(public_tokenizers.path(WORDS))
