@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from touchline.session import stage
 
 #: Rows in an Arrow batch: with texts of some 100 KB a batch stays at a few MB.
-BATCH_ROWS = 256
+BATCH_ROWS = 512
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

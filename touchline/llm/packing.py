@@ -12,11 +12,14 @@ stretch at powers of two, so they need no padding.
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -31,46 +34,76 @@ END = 2
 GAP = 1e-2
 #: Distinct words that a task remembers before it starts anew.
 REMEMBERED = 300_000
-#: Characters that Python counts as white space and the tokenizer does not.
-ODD_SPACE = frozenset("\x1c\x1d\x1e\x1f")
+#: Characters that Arrow or Python count as white space and the tokenizer does not.
+ODD_SPACE = re.compile("[\x1c-\x1f\u180e\u200b\u2060\ufeff]")
+#: Words of these characters alone need no normalisation but lower case of single letters.
+LETTERS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+PLAIN = re.compile(f"[!-~{LETTERS}]+")
+#: The tokenizer's own split, for such words in lower case.
+SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 
 
 # --- tokens
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else the next unused one."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return {b: chr(b if b in prints else next(spare)) for b in range(256)}
+
+
 class Words:
     """Ids of whole texts. White space separates tokens, so each distinct word is encoded once."""
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids, self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def _word(self, word: str) -> list[int]:
+        if not PLAIN.fullmatch(word) or "<|" in word:
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        pieces = SPLIT.findall(word.lower())
+        return [t.id for p in pieces for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))]
+
+    def _learn(self, new: list[str]) -> None:
+        found = [self._word(word) for word in new]
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(found), np.int64)])
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text and END."""
-        parts = [[t] if not ODD_SPACE.isdisjoint(t) else t.split() for t in texts]
+        split = pc.utf8_split_whitespace(texts)
+        distinct = pc.dictionary_encode(split.flatten())
+        words = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.number) > REMEMBERED:
             self._forget()
-        new = sorted(set().union(*parts).difference(self.number)) if parts else []
+        new = set(words).difference(self.number)
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-            sizes = np.array([len(f) for f in found], np.int64)
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, *[np.array(f, np.int64) for f in found]])
-        lookup, out = self.number.__getitem__, []
-        for words in parts:
-            at = np.fromiter(map(lookup, words), np.int64, len(words))
-            sizes = self.sizes[at]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            ids = self.ids[np.arange(total) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
-            out.append(np.append(ids, END).astype("<u4"))
-        return out
+            self._learn(list(new))
+        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        at = number[distinct.indices.to_numpy()] if len(words) else np.empty(0, np.int64)
+        sizes = self.sizes[at]
+        ends = np.append(0, np.cumsum(sizes))
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.starts[at] - ends[:-1], sizes)].astype("<u4")
+        cuts = ends[np.cumsum(np.append(0, pc.list_value_length(split).to_numpy()))]
+        odd = set(np.flatnonzero(pc.match_substring_regex(texts, ODD_SPACE.pattern).to_numpy(zero_copy_only=False)).tolist())
+        end = np.array([END], "<u4")
+        return [
+            np.concatenate([
+                np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4") if i in odd else ids[cuts[i]: cuts[i + 1]],
+                end,
+            ]) for i in range(len(texts))
+        ]
 
 
 def _words(kept: dict) -> Words:
@@ -93,7 +126,7 @@ def _counted(docs: DataFrame, definition: str, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(kept.value)
         for batch in batches:
-            found = words.encode(batch.column("text").to_pylist())
+            found = words.encode(batch.column("text"))
             crcs = [[zlib.crc32(ids[at: at + length].tobytes()) for at in range(0, len(ids), length)] for ids in found]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -276,7 +309,7 @@ def _crcs(docs: DataFrame, definition: str, wanted: DataFrame) -> DataFrame:
         words = _words(kept.value)
         for batch in batches:
             rows = []
-            texts = words.encode(batch.column("text").to_pylist())
+            texts = words.encode(batch.column("text"))
             for doc_id, ids, spans in zip(batch.column("doc_id").to_pylist(), texts, batch.column("spans").to_pylist()):
                 crc = zlib.crc32(ids.tobytes())
                 for s in spans:
