@@ -93,6 +93,28 @@ def test_frame_that_includes_the_current_match(stg, parity):
     assert passed(checks.no_future_leakage(stg, st.running_totals(st.club_days(stg))))
 
 
+def test_wrong_standings_are_offending(spark, stg):
+    clubs = spark.createDataFrame([(f"t{k}", 2024, "East", "") for k in range(8)], "club_id string, season int, conference string, display_name string")
+    good = st.int_standings(stg, clubs).cache()
+    assert detail(checks.no_future_leakage(stg, good)) == {"compared": good.count(), "offending": 0}
+    shifted = good.withColumn("gd_before", F.col("gd_before") + 5)
+    assert detail(checks.no_future_leakage(stg, shifted))["offending"] == good.count()
+    some = good.filter("club_id <> 't3'")
+    assert detail(checks.no_future_leakage(stg, some))["offending"] == 14
+    assert checks.leaked_rows(stg, some).count() == 14
+    resting = good.join(checks.club_dates(stg), ["season", "club_id", "date"], "left_anti").select(good.columns).limit(1)
+    wrong = good.exceptAll(resting).unionByName(resting.withColumn("pts_before", F.lit(99).cast("bigint")))
+    assert detail(checks.no_future_leakage(stg, wrong))["offending"] == resting.count()
+
+
+def test_more_names_than_fit_a_page(spark, league):
+    raw, aliases = league
+    rows = spark.range(1500).select(F.format_string("x%04d", "id").alias("home_raw"))
+    many = raw.limit(1).drop("home_raw", "match_id").crossJoin(rows).withColumn("match_id", F.col("home_raw"))
+    found = detail(checks.all_clubs_mapped(stg_matches(many.select(raw.columns), aliases)))
+    assert found["unmapped"] == 1500 and found["names"][-1] == "x1499"
+
+
 def test_first_match_not_zeroed(parity):
     wrong = parity.withColumn("pts_before", F.when(F.col("played_before") > 0, F.col("pts_before")))
     assert not passed(checks.first_match_is_zero(wrong))

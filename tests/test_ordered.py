@@ -67,6 +67,13 @@ def test_large_groups_are_split_in_order(spark):
     assert [r.match_id for r in sorted(found)] == sorted(r.match_id for r in found)
 
 
+def test_an_outlier_id_does_not_keep_a_group_whole(spark):
+    ids = spark.range(20000).select(F.format_string("fs:2024-%06d", "id").alias("match_id")).union(spark.sql("SELECT 'fs:1'"))
+    df = with_chunk(ids.withColumn("club", F.lit("a")), ["club"], "match_id", 1000)
+    sizes = [r["count"] for r in df.groupBy("chunk").count().collect()]
+    assert max(sizes) <= 2500 and sum(sizes) == 20001
+
+
 def test_positions_of_a_large_group(spark):
     rows = random_matches(300, 5)
     got = numbered(spark.createDataFrame(rows, SCHEMA), ["date"], "match_id", rows_per_task=8)

@@ -26,7 +26,7 @@ def test_run_log_opens_and_closes_one_row(spark, tmp_path):
     rows = {(r.run_id, r.stage): r for r in log.collect()}
     assert rows["r1", "ingest"].status == "success" and rows["r1", "ingest"].duration_seconds == 90
     assert rows["r1", "train"].status == "running" and rows["r1", "train"].finished_at is None
-    assert rows["r2", "ingest"].error_type == "ValueError" and len(rows["r2", "ingest"].error_message) == 500
+    assert rows["r2", "ingest"].error_type == "ValueError" and len(rows["r2", "ingest"].error_message) == 900
     assert [(r.run_id, r.stage) for r in runlog.crashed_stages(log).collect()] == [("r1", "train")]
     assert [r.run_id for r in runlog.failed_stages(log).collect()] == ["r2"]
     assert [r.run_id for r in runlog.stale_green_runs(log).collect()] == ["r1"]

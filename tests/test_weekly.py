@@ -53,6 +53,20 @@ def settings(root) -> Settings:
     )
 
 
+def test_forecasts_are_made_and_scored_later(spark, league_files):
+    s = settings(league_files)
+    rows = records(2024)
+    late = [{**r, "homeGoalCount": None, "awayGoalCount": None, "attendance": None} for r in rows[-8:]]
+    save(league_files / "archive", 2024, rows[:-8] + late)
+    weekly(spark, s, dt.datetime(2024, 5, 25))
+    made = spark.read.parquet(s.path("forecasts")).collect()
+    assert len(made) == 8 and all(r.actual is None and r.predicted is not None for r in made)
+    save(league_files / "archive", 2024, rows)
+    weekly(spark, s, AS_OF + dt.timedelta(days=1))
+    scored = {r.match_id: r.actual for r in spark.read.parquet(s.path("scored_forecasts")).collect()}
+    assert scored == {f"fs:{r['id']}": float(r["attendance"]) for r in rows[-8:]}
+
+
 def test_weekly_run(spark, league_files):
     s = settings(league_files)
     first = weekly(spark, s, AS_OF)
@@ -67,7 +81,7 @@ def test_weekly_run(spark, league_files):
     assert rows[first, "transform"].seasons == "[2023,2024]" and rows[first, "transform"].max_match_date == day("2024-06-01")
     assert spark.read.parquet(s.path("mart_match_features")).count() == 112
     assert spark.read.parquet(s.path("model_metrics")).count() == 3
-    assert spark.read.parquet(s.path("check_log")).count() == 10
+    assert spark.read.parquet(s.path("check_log")).count() == 12
     assert len(list((league_files / "extracts").iterdir())) == 7
 
     changed = records(2024)
@@ -80,6 +94,16 @@ def test_weekly_run(spark, league_files):
     weekly(spark, s, AS_OF + dt.timedelta(days=1))
     assert spark.read.parquet(s.path("model_metrics")).count() == 6
 
+    (league_files / "archive" / "league-matches_season_1655.json").write_text('{"data": [{"id": 1')
+    (league_files / "archive" / "league-matches_season_1656.json").write_text('{"error": "limit"}')
+    with pytest.raises(CheckFailure, match="bodies_parse"):
+        weekly(spark, s, AS_OF + dt.timedelta(days=2))
+    kept = spark.read.parquet(s.path("check_details")).filter("check_name = 'bodies_parse'").collect()
+    assert {json.loads(r.offender)["body"] for r in kept} == {'{"data": [{"id": 1', '{"error": "limit"}'}
+    assert spark.read.parquet(s.path("check_log")).filter("check_name = 'bodies_parse' and not passed").count() == 1
+    for season in (1655, 1656):
+        save(league_files / "archive", season + 370, [])
+
     aliases = league_files / "ref" / "club_aliases.csv"
     aliases.write_text(aliases.read_text().replace("3,club_3,\n", "", 1))
     with pytest.raises(CheckFailure, match='"names":\\["3"\\]'):
@@ -87,4 +111,4 @@ def test_weekly_run(spark, league_files):
     failed = runlog.failed_stages(runlog.run_log(spark.read.parquet(s.path("run_log")))).collect()
     assert {(r.stage, r.status) for r in failed} == {("ingest", "success"), ("transform", "failed")}
     flips = runlog.check_flips(spark.read.parquet(s.path("check_log"))).collect()
-    assert [r.check_name for r in flips] == ["all_clubs_mapped"]
+    assert {r.check_name for r in flips} == {"all_clubs_mapped", "bodies_parse"}

@@ -14,11 +14,9 @@ from touchline.config import (
 )
 from touchline.functions.calendar import in_season
 from touchline.operators.ordered import UNBOUNDED
-from touchline.operators.standings import club_days, final_table, played, running_totals, unpivot_sides
+from touchline.operators.standings import TOTALS, club_days, final_table, played, running_totals, unpivot_sides
 from touchline.operators.staging import unmapped_names
 
-LISTED = 1000
-
 
 class CheckFailure(RuntimeError):
     """A tier has failing checks."""
@@ -64,18 +62,18 @@ def matches_are_fresh(matches: DataFrame, as_of: dt.date, max_age: int = MAX_MAT
 
 
 def all_clubs_mapped(stg: DataFrame) -> DataFrame:
-    """No raw name without a club. Names up to a thousand; ``unmapped_names`` gives them all."""
-    names = unmapped_names(stg)
-    total = names.agg(F.count("*").alias("n"), F.lit(None).cast("array<string>").alias("listed"))
-    listed = names.orderBy("name").limit(LISTED).agg(
-        F.lit(None).cast("bigint").alias("n"), F.array_sort(F.collect_list("name")).alias("listed")
-    )
-    both = total.union(listed).agg(F.max("n").alias("n"), F.max("listed").alias("listed"))
+    """No raw name without a club. All distinct names are listed: as many as there are spellings of clubs."""
+    names = unmapped_names(stg).agg(F.count("*").alias("n"), F.array_sort(F.collect_list("name")).alias("listed"))
     return _result(
-        both, "all_clubs_mapped", "staging", F.col("n") == 0, unmapped=F.col("n"), names=F.col("listed")
+        names, "all_clubs_mapped", "staging", F.col("n") == 0, unmapped=F.col("n"), names=F.col("listed")
     )
 
 
+def details(name: str, offenders: DataFrame) -> DataFrame:
+    """Every offender of a check as a row: the check's name and the offender as JSON text."""
+    return offenders.select(F.lit(name).alias("check_name"), F.to_json(F.struct(*offenders.columns)).alias("offender"))
+
+
 def row_count_preserved(raw: DataFrame, stg: DataFrame) -> DataFrame:
     """Staging has as many rows as raw, neither fewer nor more."""
     return _result(
@@ -113,22 +111,40 @@ def one_match_per_club_per_date(stg: DataFrame) -> DataFrame:
 
 def no_future_leakage(matches: DataFrame, standings: DataFrame) -> DataFrame:
     """Standings equal totals recomputed over a day range that ends the day before."""
-    day = F.unix_date("date")
-    earlier = Window.partitionBy("season", "club_id").orderBy(day).rangeBetween(UNBOUNDED, -1)
-    days = club_days(played(matches))
-    recomputed = days.select(
-        "season", "club_id", "date", F.coalesce(F.sum("points").over(earlier), F.lit(0)).alias("_expected")
-    )
-    compared = standings.join(recomputed, ["season", "club_id", "date"]).agg(
-        F.count("*").alias("n"),
-        F.count_if(~F.col("pts_before").eqNullSafe(F.col("_expected"))).alias("bad"),
-    )
+    compared = _recomputed(matches, standings).agg(F.count("*").alias("n"), F.count_if("bad").alias("bad"))
     return _result(
         compared, "no_future_leakage", "intermediate", F.col("bad") == 0,
         compared=F.col("n"), offending=F.col("bad"),
     )
 
 
+def leaked_rows(matches: DataFrame, standings: DataFrame) -> DataFrame:
+    """Rows of the standings that say something else than the matches before them, and missing ones."""
+    return _recomputed(matches, standings).filter("bad").drop("bad")
+
+
+def _recomputed(matches: DataFrame, standings: DataFrame) -> DataFrame:
+    """Every row of the standings and every club-day of the matches, with ``bad``.
+
+    A club-day that the standings lack is bad, and so is any total of theirs that differs.
+    """
+    key, sums = ["season", "club_id", "date"], dict(zip(TOTALS, ("points", "gd", "gf", "played")))
+    days = club_days(played(matches)).select(*key, *sums.values(), F.lit(0).alias("_listed"))
+    listed = standings.select(*key, *[F.lit(0).cast("bigint").alias(c) for c in sums.values()], F.lit(1).alias("_listed"))
+    both = days.unionByName(listed).groupBy(*key).agg(
+        *[F.sum(c).alias(c) for c in sums.values()], F.max("_listed").alias("_listed")
+    )
+    earlier = Window.partitionBy("season", "club_id").orderBy(F.unix_date("date")).rangeBetween(UNBOUNDED, -1)
+    expected = both.select(
+        *key, "_listed", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{t}") for t, c in sums.items()]
+    )
+    compared = [t for t in TOTALS if t in standings.columns]
+    bad = F.col("_listed") == 0
+    for t in compared:
+        bad = bad | ~F.col(t).eqNullSafe(F.col(f"_{t}"))
+    return expected.join(standings.select(*key, *compared), key, "left").select(*key, *compared, bad.alias("bad"))
+
+
 def club_sequence(matches: DataFrame) -> DataFrame:
     """Each club's playing days of a season in order, with the points of the day before."""
     order = Window.partitionBy("season", "club_id").orderBy("date")
@@ -228,6 +244,14 @@ def schema_drift(records: DataFrame, required: Sequence[str] = REQUIRED_FIELDS)
     )
 
 
+def bodies_parse(bodies: DataFrame) -> DataFrame:
+    """Every archived body is a response; ``bodies`` has a ``parsed`` column."""
+    counts = bodies.agg(F.count("*").alias("n"), F.count_if(~F.col("parsed")).alias("bad"))
+    return _result(
+        counts, "bodies_parse", "ingest", F.col("bad") == 0, parsed=F.col("n") - F.col("bad"), unparsed=F.col("bad")
+    )
+
+
 def expected_lag_nulls(with_lags: DataFrame) -> DataFrame:
     """The last gate is missing for a club's first home match, and after an unknown gate.
 

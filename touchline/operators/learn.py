@@ -16,7 +16,6 @@ from touchline.operators.ordered import UNBOUNDED, numbered
 from touchline.session import stage
 
 CLUB = "opponent_club_id"
-BUCKET_ROWS = 100_000
 
 
 def feature_catalog(spark: SparkSession) -> DataFrame:
@@ -176,12 +175,14 @@ def shuffled(rows: DataFrame, column: str, seed: int, buckets: int) -> DataFrame
 
 
 def permutation_importance(
-    model: PipelineModel, test: DataFrame, features: Sequence[str], seed: int = 42
+    model: PipelineModel, test: DataFrame, features: Sequence[str], seed: int = 42, buckets: int = 8
 ) -> DataFrame:
-    """Rise of the holdout's MAE when one feature is dealt out at random."""
+    """Rise of the holdout's MAE when one feature is dealt out at random.
+
+    Values are dealt within ``buckets`` parts of the holdout: as many as it takes for a part to fit a task.
+    """
     day = dt.date(1970, 1, 1)
     test = stage(test, "holdout")
-    buckets = 1 + test.count() // BUCKET_ROWS
     parts = [score(model, test, features, "", day)]
     parts += [score(model, shuffled(test, f, seed, buckets), features, f, day) for f in features]
     scored = parts[0]

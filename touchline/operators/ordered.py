@@ -28,35 +28,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 def with_chunk(
     df: DataFrame, keys: Sequence[str], id_col: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Add ``chunk``: '' for ordinary groups, a leading part of ``id_col`` for large ones.
+    """Stored rows with ``chunk``, a number that cuts each group into consecutive runs in ``id_col`` order.
 
-    Leading parts of a text sort like the text itself, so chunks are consecutive runs of the
-    group in ``id_col`` order. The part is as long as the group's common start plus enough
-    characters for its size. Only groups above ``rows_per_task`` are listed, at most
-    rows / rows_per_task of them, and the list's real size decides how it is joined.
+    Rows are dealt by range over (keys, id_col), so a chunk is a range of one task's size whatever
+    the groups' sizes or the ids' texts; only groups that a border crosses have more than one. The
+    cut points come from a sample, so the dealt rows are written: every later read sees the same.
     """
-    plain = df.withColumn("chunk", F.lit(""))
-    if df.select(*keys).count() <= rows_per_task:
-        return plain
-    large = stage(
-        df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task), "large-groups"
-    )
-    if large.isEmpty():
-        return plain
-    # Text extremes are looked up for the large groups only: aggregating texts means sorting.
-    shared = F.size(F.expr(
-        "filter(sequence(1, greatest(1, least(length(_lo), length(_hi)))),"
-        " i -> left(_lo, i) = left(_hi, i))"
-    ))
-    length = shared + 1 + F.ceil(F.log10(F.col("_n") / rows_per_task))
-    cuts = (
-        join_null_safe(df.select(*keys, id_col), large, keys, "inner")
-        .groupBy(*keys).agg(F.first("_n").alias("_n"), F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"))
-        .select(*keys, length.cast("int").alias("_cut"))
-    )
-    cut = F.coalesce("_cut", F.lit(0))
-    chunk = F.when(cut > 0, F.substring(F.col(id_col), F.lit(1), cut)).otherwise("")
-    return join_null_safe(df, stage(cuts, "large-group-cuts"), keys).withColumn("chunk", chunk).drop("_cut")
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_task))
+    return stage(df.repartitionByRange(parts, *keys, id_col).withColumn("chunk", F.spark_partition_id()), "chunks")
 
 
 def prior_rows(

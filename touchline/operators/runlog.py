@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.calendar import in_season
@@ -37,10 +37,14 @@ def finish_stage(
     error: BaseException | None = None, **fields: object,
 ) -> None:
     if error is not None:
-        fields |= {"error_type": type(error).__name__, "error_message": str(error)[:500]}
+        fields |= {"error_type": type(error).__name__, "error_message": str(error)}
     stage_event(spark, run_id, stage, status, at, **fields).write.mode("append").parquet(path)
 
 
+def _seconds(column: str) -> Column:
+    return F.col(column).cast("timestamp").cast("double")
+
+
 def run_log(events: DataFrame) -> DataFrame:
     """Current state per run and stage: opened by the first event, described by the last."""
     carried = [c for c in events.columns if c not in ("run_id", "stage", "event_ts")]
@@ -54,7 +58,7 @@ def run_log(events: DataFrame) -> DataFrame:
             F.when(F.col("_l.status") != "running", F.col("_end")).alias("finished_at"), "_l.*",
         )
         .withColumn(
-            "duration_seconds", F.unix_timestamp("finished_at") - F.unix_timestamp("started_at")
+            "duration_seconds", _seconds("finished_at") - _seconds("started_at")
         )
     )
 

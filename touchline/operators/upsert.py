@@ -73,7 +73,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: Sequence
     The merged rows are staged first because the table cannot be overwritten while it is read.
     """
     batch = stage(dedupe_latest(batch, key), "batch")
-    if not _exists(spark, path):
+    if not exists(spark, path):
         batch.limit(0).write.partitionBy("season").parquet(path)
         target = batch.limit(0)
         touched: list = []
@@ -129,6 +129,6 @@ def _hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = _hadoop_path(spark, path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

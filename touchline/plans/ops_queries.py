@@ -147,10 +147,13 @@ def at(column: str) -> str:
 
 
 @query(sql(f"""
-SELECT run_id, stage, {at('started_at')}, {at('finished_at')}, status, rows_read, rows_inserted, rows_updated FROM runs"""))
+SELECT run_id, stage, {at('started_at')}, {at('finished_at')}, status, rows_read, rows_inserted, rows_updated,
+  CAST(epoch_us(finished_at) - epoch_us(started_at) AS DOUBLE) AS duration_us FROM runs"""))
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The duration is compared in whole microseconds: its seconds are a difference of doubles."""
+    duration = F.round(F.col("duration_seconds") * 1e6).alias("duration_us")
     return shown(b.runs(spark, sf), "started_at", "finished_at").select(
-        "run_id", "stage", "started_at", "finished_at", "status", "rows_read", "rows_inserted", "rows_updated"
+        "run_id", "stage", "started_at", "finished_at", "status", "rows_read", "rows_inserted", "rows_updated", duration
     )
 
 
@@ -262,8 +265,9 @@ def one_match_per_club_per_date(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(check(
     "no_future_leakage", "intermediate", "bad = 0", """'{"compared":' || n || ',"offending":' || bad || '}'""",
-    """(SELECT COUNT(*) AS n, COUNT(*) FILTER (s.pts_before IS DISTINCT FROM r.pts_before) AS bad
-        FROM int_standings s JOIN running r USING (season, club_id, date))""",
+    """(SELECT COUNT(*) AS n, COUNT(*) FILTER ((s.pts_before, s.gd_before, s.gf_before, s.played_before)
+          IS DISTINCT FROM (r.pts_before, r.gd_before, r.gf_before, r.played_before)) AS bad
+        FROM int_standings s FULL JOIN field r USING (season, club_id, date))""",
 ))
 def no_future_leakage(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.stg(spark, sf)
@@ -344,6 +348,30 @@ def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     return checks.schema_drift(records)
 
 
+@query(sql("""
+SELECT 'bodies_parse' AS name, 'ingest' AS tier, false AS passed,
+  '{"parsed":' || (SELECT COUNT(*) FROM (SELECT DISTINCT year(day), id // 500 FROM payload))
+    || ',"unparsed":' || (SELECT COUNT(*) FROM pages) || '}' AS metadata"""))
+def bodies_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """Web pages saved among the responses fail the load."""
+    path = archived(spark, sf)
+    pages = b.table(spark, sf, "pages").select(F.regexp_replace("html", "[\\r\\n]+", " ").alias("value"))
+    pages.write.text(f"{path}/endpoint=league-matches/season_id=0")
+    return checks.bodies_parse(archive.parsed(archive.documents(spark, path, per_line=True)))
+
+
+@query(sql("""
+SELECT 'all_clubs_mapped' AS check_name, '{"name":"' || name || '"}' AS offender FROM (
+  SELECT home_raw AS name FROM raw_matches WHERE trim(home_raw) = '24' UNION SELECT away_raw FROM raw_matches WHERE away_raw = '24')
+UNION ALL SELECT 'one_match_per_club_per_date', '{"season":' || season || ',"club_id":"' || club_id || '","date":"' || date
+  || '","n":' || COUNT(*) || '}' FROM sides GROUP BY season, club_id, date HAVING COUNT(*) > 1"""))
+def check_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Every offender of two checks, as it is written beside the check log."""
+    unmapped = staging.unmapped_names(staging.stg_matches(b.raw_matches(spark, sf), b.aliases_without_last(spark, sf), b.MASK))
+    twice = checks.duplicates(checks.club_dates(b.stg(spark, sf)), ["season", "club_id", "date"])
+    return checks.details("all_clubs_mapped", unmapped).unionByName(checks.details("one_match_per_club_per_date", twice))
+
+
 @query(sql("""
 SELECT CAST(id AS VARCHAR) AS id, CASE WHEN "homeGoalCount" IS NULL THEN 'attendance,awayGoalCount,homeGoalCount'
   ELSE 'attendance' END AS missing FROM payload WHERE attendance IS NULL"""))

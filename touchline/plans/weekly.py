@@ -12,10 +12,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.config import COVID_RANGE
+from touchline.config import COVID_RANGE, MODELS
 from touchline.operators import checks, features, learn, reports, runlog, staging, upsert
 from touchline.operators import standings as st
+from touchline.session import stage
 from touchline.sources import archive, tables
 
 
@@ -33,6 +35,7 @@ class Settings:
     lags_by_season: bool = False
     drop_covid: bool = True
     line_bodies: bool = False
+    git_sha: str | None = None
     trees: dict = field(default_factory=dict)
 
     def path(self, table: str) -> str:
@@ -56,26 +59,38 @@ class Run:
         try:
             fields = work()
         except Exception as error:
-            runlog.finish_stage(self.spark, log, self.run_id, name, self._now(started), "failed", error=error)
+            runlog.finish_stage(self.spark, log, self.run_id, name, self._now(started), "failed", error=error, git_sha=self.settings.git_sha)
             raise
-        runlog.finish_stage(self.spark, log, self.run_id, name, self._now(started), "success", **fields)
+        runlog.finish_stage(self.spark, log, self.run_id, name, self._now(started), "success", git_sha=self.settings.git_sha, **fields)
 
     @staticmethod
     def _now(started: dt.datetime) -> dt.datetime:
         return max(dt.datetime.now(dt.UTC).replace(tzinfo=None), started + dt.timedelta(microseconds=1))
 
-    def checked(self, *results: DataFrame) -> None:
-        """Record every result of a tier, then stop if one failed."""
+    def checked(self, *results: DataFrame, offenders: dict[str, DataFrame] | None = None) -> None:
+        """Record every result of a tier and all offenders of those that failed, then stop if one did."""
         tier = upsert.materialise(checks.run_tier(results), self.settings.path(f"tier_results/{self.run_id}-{uuid.uuid4().hex}"))
         runlog.log_checks(tier, self.settings.path("check_log"), self.run_id, self.as_of)
+        failed = {r.name for r in tier.filter(~F.col("passed")).select("name").collect()}
+        for name, rows in (offenders or {}).items():
+            if name in failed:
+                found = checks.details(name, rows).withColumn("run_id", F.lit(self.run_id))
+                found.write.mode("append").partitionBy("check_name").parquet(self.settings.path("check_details"))
         checks.gate(tier)
 
 
 def ingest(run: Run) -> dict:
     """Upsert all archived responses of the configured seasons."""
     s = run.settings
-    records = archive.read_archive(run.spark, s.archive, s.line_bodies)
-    checks.gate(checks.schema_drift(records))
+    bodies = archive.parsed(archive.documents(run.spark, s.archive, s.line_bodies))
+    records = archive.unnest(bodies)
+    run.checked(
+        checks.bodies_parse(bodies), checks.schema_drift(records),
+        offenders={
+            "bodies_parse": bodies.filter(~F.col("parsed")).select("file", "body"),
+            "schema_drift": checks.drifted_records(records).select("season_id", "missing", "found", "record"),
+        },
+    )
     configured = tables.read_reference_table(run.spark, s.reference, "seasons").select("season_id")
     raw = archive.to_raw_matches(records.join(configured.distinct(), "season_id", "left_semi"))
     counts = upsert.upsert_table(run.spark, s.path("raw_matches"), raw).first()
@@ -94,9 +109,15 @@ def transform(run: Run) -> dict:
     run.checked(
         checks.matches_are_fresh(stg, run.as_of.date()), checks.all_clubs_mapped(stg),
         checks.row_count_preserved(raw, stg), checks.one_row_per_match(stg), checks.one_match_per_club_per_date(stg),
+        offenders={
+            "all_clubs_mapped": staging.unmapped_names(stg), "one_row_per_match": checks.duplicates(stg, ["match_id"]),
+            "one_match_per_club_per_date": checks.duplicates(checks.club_dates(stg), ["season", "club_id", "date"]),
+        },
     )
     standings = upsert.materialise(st.int_standings(stg, clubs), s.path("int_standings"))
-    run.checked(checks.no_future_leakage(stg, standings))
+    run.checked(
+        checks.no_future_leakage(stg, standings), offenders={"no_future_leakage": checks.leaked_rows(stg, standings)}
+    )
     every = upsert.materialise(
         features.mart_match_features(
             stg, clubs, ref["derbies"], s.playoff_spots, s.relegation_spots, mask=s.covid,
@@ -119,9 +140,32 @@ def train(run: Run) -> dict:
     result = learn.train_all(mart, run.as_of.date(), s.drop_covid, **s.trees)
     for name, rows in result.items():
         upsert.upsert_run(rows, s.path(name))
+    forecast(run)
     return {"rows_read": mart.count()}
 
 
+FORECAST = "match_id string, predicted double, actual double, run_date date, model_name string"
+
+
+def forecast(run: Run) -> None:
+    """Complete earlier forecasts by what was played since, and forecast what is still open.
+
+    Forecasts are a history of their own: a run's rows are replaced, those of other runs keep their prediction.
+    """
+    s, every = run.settings, run.table("mart_all_fixtures")
+    path, spark = s.path("forecasts"), run.spark
+    stg = run.table("stg_matches")
+    if upsert.exists(spark, path):
+        known = learn.fill_actuals(spark.read.schema(FORECAST).parquet(path), stg)
+        known = stage(known.filter("actual is not null"), "known-forecasts")
+        upsert.materialise(known, s.path("scored_forecasts"))
+    open_ = every.join(st.played(stg).select("match_id"), "match_id", "left_anti")
+    rows = learn.training_frame(run.table("mart_match_features"), s.drop_covid)
+    features = MODELS["prorel"]
+    model = learn.train_one(rows, features, **s.trees)
+    upsert.upsert_run(learn.score(model, open_, features, "prorel", run.as_of.date()), path)
+
+
 def export(run: Run) -> dict:
     """CSV extracts of the dashboard tables, with the decay curve beside them."""
     s = run.settings
@@ -129,7 +173,7 @@ def export(run: Run) -> dict:
     extracts = {n: run.table(n) for n in names} | {"run_log": runlog.run_log(run.table("run_log"))}
     small = [n for n in extracts if n not in ("mart_match_features", "int_standings", "predictions")]
     tables.export_all(extracts, s.extracts, small)
-    tables.export_csv(reports.decay_curve(run.table("mart_match_features")), "decay_curve", s.extracts)
+    tables.export_csv(reports.decay_curve(run.table("mart_match_features")), "decay_curve", s.extracts, single_file=True)
     return {}
 
 

@@ -49,10 +49,14 @@ def read_archive(spark: SparkSession, path: str, per_line: bool = False) -> Data
     return unnest(documents(spark, path, per_line))
 
 
+def parsed(bodies: DataFrame) -> DataFrame:
+    """Bodies with ``parsed``: whether they are JSON with a data array."""
+    return bodies.withColumn("parsed", F.from_json("body", ENVELOPE)["data"].isNotNull())
+
+
 def malformed(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """Bodies that do not parse or carry no data array, with their file."""
-    parsed = F.from_json("body", ENVELOPE)
-    return documents(spark, path, per_line).filter(parsed["data"].isNull()).select("file", "body")
+    return parsed(documents(spark, path, per_line)).filter(~F.col("parsed")).select("file", "body")
 
 
 def to_raw_matches(records: DataFrame, zone: str = "UTC") -> DataFrame:

@@ -32,10 +32,10 @@ def read_reference(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {name: read_reference_table(spark, path, name) for name in REFERENCE}
 
 
-def export_csv(df: DataFrame, table: str, out_dir: str, single_file: bool = True) -> str:
-    """A headered CSV folder. A table too large for one writer keeps its partitions."""
+def export_csv(df: DataFrame, table: str, out_dir: str, single_file: bool = False) -> str:
+    """A headered CSV folder, of one file where that is asked for: the rows are made by all tasks, then gathered."""
     out = f"{out_dir}/{table}"
-    rows = df.coalesce(1) if single_file else df
+    rows = df.repartition(1) if single_file else df
     rows.write.option("header", True).mode("overwrite").csv(out)
     return out
 
