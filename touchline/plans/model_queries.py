@@ -1,7 +1,9 @@
 """Training, scoring and comparison of the models.
 
-Tree training has no SQL counterpart; these queries use few and shallow trees so that a run
-stays short. The operators' defaults are 400 trees of depth 6.
+Tree training has no SQL counterpart, so queries return what SQL can state of it: which rows are
+predicted, that predictions are finite numbers, how importances add up, how errors are ordered. The
+operators' defaults, which the weekly run uses, are 400 trees of depth 6; the queries fit FEW ones,
+because a default fit takes some minutes on one machine (README has the figures).
 """
 
 from __future__ import annotations
@@ -44,17 +46,49 @@ def season_folds(spark: SparkSession, sf: str) -> DataFrame:
     return learn.fold_sizes(b.mart(spark, sf))
 
 
-@query()
+def told(predictions: DataFrame) -> DataFrame:
+    """Predictions, with ``finite`` in place of the number."""
+    number = F.col("predicted")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+    return predictions.select("match_id", "model_name", "run_date", "actual", F.coalesce(finite, F.lit(False)).alias("finite"))
+
+
+def errors_told(metrics: DataFrame, *more: str) -> DataFrame:
+    """Metrics, with the order of the errors in place of their size."""
+    ordered = (F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") + 1e-9) & F.col("mape").isNotNull()
+    return metrics.select("model_name", "run_date", "n_train", "n_test", *more, ordered.alias("ordered"))
+
+
+def features_of(model: str) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{f}')" for f in MODELS[model]) + ") AS v(feature)"
+
+
+SIZES = "SELECT COUNT(*) FILTER (part = 'train') AS n_train, COUNT(*) FILTER (part = 'test') AS n_test FROM split"
+NAMES = "(VALUES ('naive_club_mean'), ('baseline'), ('prorel')) AS m(model_name)"
+
+
+@query(sql("""
+SELECT match_id, 'prorel' AS model_name, DATE '2001-08-01' AS run_date, CAST(attendance AS DOUBLE) AS actual, true AS finite
+FROM split WHERE part = 'test'""", SPLIT))
 def train_one(spark: SparkSession, sf: str) -> DataFrame:
     """Holdout predictions of one fitted model."""
     train, test = learn.chronological_split(learn.training_frame(b.mart(spark, sf)))
     model = learn.train_one(train, MODELS["prorel"], **FEW)
-    return learn.score(model, test, MODELS["prorel"], "prorel", b.RUN_DATE)
+    return told(learn.score(model, test, MODELS["prorel"], "prorel", b.RUN_DATE))
 
 
-@query()
+@query(f"""
+SELECT 'baseline' AS model_name, DATE '2001-08-01' AS run_date, feature, false AS is_prorel, true AS adds_up FROM ({features_of('baseline')})
+UNION ALL SELECT 'prorel', DATE '2001-08-01', feature, feature NOT IN ({features_of('baseline')}), true FROM ({features_of('prorel')})""")
 def importance(spark: SparkSession, sf: str) -> DataFrame:
-    return trained(spark, sf)["feature_importance"]
+    """Every feature of every model; importances are not negative and add up to 1."""
+    gains = trained(spark, sf)["feature_importance"]
+    sums = gains.groupBy("model_name", "run_date").agg(
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("whole"), F.min("importance").alias("least")
+    )
+    return gains.join(sums, ["model_name", "run_date"]).select(
+        "model_name", "run_date", "feature", "is_prorel", (F.col("whole") & (F.col("least") >= 0)).alias("adds_up")
+    )
 
 
 @query(sql("""
@@ -83,38 +117,48 @@ def top_features(spark: SparkSession, sf: str) -> DataFrame:
     return reports.top_features(history, 3)
 
 
-@query()
+@query(f"SELECT feature, true AS finite FROM ({features_of('prorel')})")
 def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature of the larger model, dealt out on the holdout."""
     train, test = learn.chronological_split(learn.training_frame(b.mart(spark, sf)))
-    features = MODELS["baseline"]
-    return learn.permutation_importance(learn.train_one(train, features, **FEW), test, features)
+    features = MODELS["prorel"]
+    found = learn.permutation_importance(learn.train_one(train, features, **FEW), test, features)
+    return found.select("feature", (F.abs("delta_mae") < float("inf")).alias("finite"))
 
 
-@query()
+@query(sql(f"SELECT model_name, DATE '2001-08-01' AS run_date, CAST(n_train AS INT) AS n_train, CAST(n_test AS INT) AS n_test, true AS ordered FROM ({SIZES}), {NAMES}", SPLIT))
 def train_all(spark: SparkSession, sf: str) -> DataFrame:
-    return trained(spark, sf)["model_metrics"]
+    return errors_told(trained(spark, sf)["model_metrics"])
 
 
-@query()
+@query(sql(f"""
+SELECT model_name, CAST(DATE '2001-08-01' + CAST(seed - 1 AS INT) AS DATE) AS run_date, CAST(n_train AS INT) AS n_train,
+  CAST(n_test AS INT) AS n_test, CAST(seed AS INT) AS seed, true AS ordered FROM ({SIZES}), {NAMES}, range(1, 6) AS s(seed)""", SPLIT))
 def seed_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """The comparison of the models over repeated trainings on subsampled rows per tree."""
-    swept = learn.seed_sweep(b.mart(spark, sf), (1, 2), dt.date(2001, 8, 1), subsamplingRate=0.7, **FEW)
-    return reports.compare_models(swept)
+    """Repeated trainings on subsampled rows per tree."""
+    swept = learn.seed_sweep(b.mart(spark, sf), (1, 2, 3, 4, 5), dt.date(2001, 8, 1), subsamplingRate=0.7, **FEW)
+    return errors_told(swept, "seed")
 
 
-@query()
+@query(sql(f"""
+SELECT model_name, DATE '2001-08-01' AS run_date, CAST(floor(n * 0.8::DOUBLE) AS INT) AS n_train,
+  CAST(n - floor(n * 0.8::DOUBLE) AS INT) AS n_test, drop_covid, true AS ordered
+FROM (SELECT true AS drop_covid, COUNT(*) AS n FROM mart WHERE attendance IS NOT NULL AND NOT is_covid_affected
+      UNION ALL SELECT false, COUNT(*) FROM mart WHERE attendance IS NOT NULL), {NAMES}"""))
 def covid_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
-    return learn.covid_sensitivity(b.mart(spark, sf), b.RUN_DATE, **FEW)
+    return errors_told(learn.covid_sensitivity(b.mart(spark, sf), b.RUN_DATE, **FEW), "drop_covid")
 
 
-@query()
+@query(sql("""
+SELECT match_id, 'prorel' AS model_name, DATE '2001-08-01' AS run_date, CAST(NULL AS DOUBLE) AS actual, true AS finite
+FROM stg_matches WHERE home_goals IS NULL"""))
 def score(spark: SparkSession, sf: str) -> DataFrame:
     """Forecasts of the fixtures without a result."""
     features = MODELS["prorel"]
     model = learn.train_one(learn.training_frame(b.mart(spark, sf)), features, **FEW)
     fixtures = b.mart(spark, sf, include_unplayed=True)
     ahead = b.stg(spark, sf).filter("home_goals is null").select("match_id")
-    return learn.score(model, fixtures.join(ahead, "match_id", "left_semi"), features, "prorel", b.RUN_DATE)
+    return told(learn.score(model, fixtures.join(ahead, "match_id", "left_semi"), features, "prorel", b.RUN_DATE))
 
 
 @query(sql("SELECT match_id, model_name, run_date, predicted, actual FROM predictions"))
