@@ -56,18 +56,32 @@ def test_table_rewrites_touched_seasons_only(spark, tmp_path, first):
     path = str(tmp_path / "raw")
     older = first.withColumns({"season": F.lit(2023), "match_id": F.concat(F.lit("o"), "match_id")})
     assert tuple(one(up.upsert_table(spark, path, first.unionByName(older)))) == (8, 0, 0, 8)
-    untouched = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "raw" / "season=2023").iterdir()}
+    untouched = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "raw" / "load=1" / "season=2023").iterdir()}
     batch = spark.createDataFrame([("m0", 2024, "50", at(2)), ("n1", 2024, "1", at(2))], SCHEMA)
     assert tuple(one(up.upsert_table(spark, path, batch))) == (1, 1, 0, 2)
-    assert spark.read.parquet(path).count() == 9
-    assert untouched == {f.name: f.stat().st_mtime_ns for f in (tmp_path / "raw" / "season=2023").iterdir()}
+    assert up.read_table(spark, path).count() == 9
+    assert not (tmp_path / "raw" / "load=2" / "season=2023").exists()
+    assert untouched == {f.name: f.stat().st_mtime_ns for f in (tmp_path / "raw" / "load=1" / "season=2023").iterdir()}
 
 
 def test_match_that_changes_season_moves(spark, tmp_path):
     path = str(tmp_path / "raw")
     up.upsert_table(spark, path, spark.createDataFrame([("m0", 2023, "1", at(1)), ("m1", 2024, "1", at(1))], SCHEMA))
     up.upsert_table(spark, path, spark.createDataFrame([("m0", 2024, "1", at(2))], SCHEMA))
-    assert {(r.match_id, r.season) for r in spark.read.parquet(path).collect()} == {("m0", 2024), ("m1", 2024)}
+    assert {(r.match_id, r.season) for r in up.read_table(spark, path).collect()} == {("m0", 2024), ("m1", 2024)}
+
+
+def test_a_load_that_breaks_off_changes_nothing(spark, tmp_path, first, monkeypatch):
+    path = str(tmp_path / "raw")
+    up.upsert_table(spark, path, first)
+    batch = spark.createDataFrame([("m0", 2023, "50", at(2))], SCHEMA)
+    with monkeypatch.context() as broken:
+        broken.setattr(up, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            up.upsert_table(spark, path, batch)
+    assert {(r.match_id, r.season) for r in up.read_table(spark, path).collect()} == {(f"m{k}", 2024) for k in range(4)}
+    assert one(up.upsert_table(spark, path, batch)).updated == 1
+    assert ("m0", 2023) in {(r.match_id, r.season) for r in up.read_table(spark, path).collect()}
 
 
 def test_backfill_counts_per_season(spark, first):

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from touchline.session import stage
 
@@ -67,34 +68,67 @@ def backfill(target: DataFrame, records: DataFrame, seasons: DataFrame) -> tuple
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str] = ("match_id",)) -> DataFrame:
-    """Upsert into a parquet table partitioned by season; returns the load statistics.
+    """Upsert into a parquet table kept by season; returns the load statistics.
 
-    Only seasons the batch touches, or in which its matches are stored, are read and rewritten.
-    The merged rows are staged first because the table cannot be overwritten while it is read.
+    Only seasons the batch touches, or in which its matches are stored, are read and written, to a
+    folder of this load. A manifest then says which load holds each season: until it is published,
+    readers see the table as it was, and a load that broke off is written anew by the next.
     """
     batch = stage(dedupe_latest(batch, key), "batch")
-    if not exists(spark, path):
-        batch.limit(0).write.partitionBy("season").parquet(path)
-        target = batch.limit(0)
-        touched: list = []
+    held, load = _manifest(spark, path)
+    target = batch.limit(0)
+    if held:
+        stored = read_table(spark, path, batch.schema).select(*key, "season").join(batch.select(*key), list(key), "left_semi")
+        touched = [r.season for r in stored.select("season").union(batch.select("season")).distinct().collect()]
+        inside = {s: n for s, n in held.items() if s in touched}
+        if inside:
+            target = _read_seasons(spark, path, inside, batch.schema)
     else:
-        target = spark.read.schema(batch.schema).parquet(path)
-        stored = target.select(*key, "season").join(batch.select(*key), list(key), "left_semi")
-        seasons = stored.select("season").union(batch.select("season")).distinct()
-        touched = [r.season for r in seasons.collect()]
-        target = target.filter(F.col("season").isin(touched))
-    merged = stage(upsert(target, batch, key), "merged")
-    (
-        merged.drop("action").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("season").parquet(path)
-    )
-    filled = {r.season for r in merged.select("season").distinct().collect()}
-    for season in set(touched) - filled:
-        folder = _hadoop_path(spark, f"{path}/season={season}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        touched = []
+    written = f"{path}/load={load}"
+    upsert(target, batch, key).write.mode("overwrite").partitionBy("season").parquet(written)
+    merged = spark.read.schema(_with_action(batch)).parquet(written)
+    filled = [r.season for r in merged.select("season").distinct().collect()]
+    now = {s: n for s, n in held.items() if s not in touched} | {s: load for s in filled}
+    publish(spark.createDataFrame([(s, n) for s, n in now.items()], MANIFEST).coalesce(1), f"{path}/_manifest", load)
     return load_statistics(merged)
 
 
+MANIFEST = "season int, load int"
+#: The folder that Spark gives rows without a season.
+NO_SEASON = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _with_action(batch: DataFrame) -> StructType:
+    return StructType([*batch.schema.fields, StructField("action", StringType())])
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[dict[int | None, int], int]:
+    """The load that holds each season, and the number of the next load."""
+    if not exists(spark, f"{path}/_manifest"):
+        return {}, 1
+    rows = read_published(spark, f"{path}/_manifest").select("season", "load", "version").collect()
+    return {r.season: r.load for r in rows}, 1 + max((int(r.version) for r in rows), default=0)
+
+
+def _read_seasons(spark: SparkSession, path: str, held: dict, schema: StructType) -> DataFrame:
+    folders = [f"{path}/load={n}/season={NO_SEASON if s is None else s}" for s, n in held.items()]
+    columns = [c for c in schema.names]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*columns)
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A table written by ``upsert_table``, as of its newest manifest. One without rows needs ``schema``."""
+    held, _ = _manifest(spark, path)
+    if not held:
+        return spark.createDataFrame([], schema)
+    if schema is None:
+        season, load = next(iter(held.items()))
+        first = spark.read.option("basePath", path).parquet(f"{path}/load={load}/season={NO_SEASON if season is None else season}")
+        schema = StructType([f for f in first.schema.fields if f.name not in ("action", "load", "season")] + [StructField("season", IntegerType())])
+    return _read_seasons(spark, path, held, schema)
+
+
 def upsert_run(df: DataFrame, path: str) -> None:
     """Replace the (run_date, model_name) partitions present in ``df``; other runs stay."""
     (
@@ -122,7 +156,9 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
         str(s.getPath()) for s in fs.listStatus(root)
         if fs.exists(_hadoop_path(spark, f"{s.getPath()}/_SUCCESS"))
     ]
-    return spark.read.parquet(max(complete))
+    newest = max(complete)
+    number = int(newest.rsplit("=", 1)[1])
+    return spark.read.parquet(newest).withColumn("version", F.lit(number))
 
 
 def _hadoop_path(spark: SparkSession, path: str):

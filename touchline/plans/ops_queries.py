@@ -82,7 +82,7 @@ def upsert_table(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "raw-table")
     up.upsert_table(spark, path, stored(spark, sf))
     up.upsert_table(spark, path, delivery(spark, sf))
-    return spark.read.parquet(path).select(*FIGURES)
+    return up.read_table(spark, path).select(*FIGURES)
 
 
 @query(sql("""
@@ -123,7 +123,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     checkpoint = scratch_path(spark, "stream-checkpoint")
     for _ in range(2):
         stream_archive(spark, path, checkpoint, table, per_line=True).awaitTermination()
-    return spark.read.parquet(table).select(*FIGURES)
+    return up.read_table(spark, table).select(*FIGURES)
 
 
 @query(sql("""

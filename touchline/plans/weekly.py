@@ -102,7 +102,7 @@ def ingest(run: Run) -> dict:
 
 def transform(run: Run) -> dict:
     """Rebuild staging, standings and mart, each behind the checks of the tier before it."""
-    s, raw = run.settings, run.table("raw_matches")
+    s, raw = run.settings, upsert.read_table(run.spark, run.settings.path("raw_matches"))
     ref = tables.read_reference(run.spark, s.reference)
     stg = upsert.materialise(staging.stg_matches(raw, ref["club_aliases"], s.covid), s.path("stg_matches"))
     clubs = upsert.materialise(staging.stg_clubs(ref["club_aliases"], ref["club_conference"]), s.path("stg_clubs"))
