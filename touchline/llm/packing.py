@@ -281,7 +281,7 @@ def _cut(docs: DataFrame, definition: str, left: DataFrame, first_sequence: int,
     laid = stage(left.withColumn("at", F.coalesce(F.sum("length").over(line), F.lit(0)).cast("bigint")), "left")
     total = laid.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     ends = _borders(total, length)
-    spans = [(first_sequence + i, end - (end - start), end) for i, (start, end) in enumerate(zip([0, *ends], ends))]
+    spans = [(first_sequence + i, start, end) for i, (start, end) in enumerate(zip([0, *ends], ends))]
     borders = spark.createDataFrame(spans, "sequence bigint, low bigint, high bigint")
     meets = (F.col("at") < F.col("high")) & (F.col("at") + F.col("length") > F.col("low"))
     parts = laid.join(F.broadcast(borders), meets)  # a row per sequence: fewer than patterns
