@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from touchline.llm.common import id_and_text, small_batches
 
 NONE = np.int64(1) << 40
-#: Cells of one tree array: bounds a task's memory.
-CELLS = 1 << 21
+#: Cells of one tree array: it stays in the processor's cache.
+CELLS = 1 << 17
 #: Distinct pieces that a task remembers before it starts anew.
 REMEMBERED = 300_000
 
@@ -65,29 +65,30 @@ class Merger:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((a >= 0) & (b >= 0) & (self.keys[at] == key), self.to[at], NONE)
 
-    def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """The ids of each piece."""
-        out: list = [None] * len(pieces)
-        by_width: dict[int, list[int]] = {}
-        for i, piece in enumerate(pieces):
-            whole = self.rank.get(piece)
-            if whole is not None or not piece:
-                out[i] = np.array([] if whole is None else [whole], np.int64)
-            else:
-                by_width.setdefault(max(2, 1 << (len(piece) - 1).bit_length()), []).append(i)
-        for width, rows in by_width.items():
-            step = max(1, CELLS // (2 * width))
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one piece after the other, and how many each has."""
+        whole = np.array([self.rank.get(p, -1) for p in pieces], np.int64)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        sizes = (whole >= 0).astype(np.int64)
+        widths = np.where((whole >= 0) | (lengths == 0), 0, np.maximum(2, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64)))
+        found = []
+        for width in np.unique(widths[widths > 0]).tolist():
+            rows, step = np.flatnonzero(widths == width), max(1, CELLS // (2 * width))
             for at in range(0, len(rows), step):
                 part = rows[at: at + step]
-                for i, ids in zip(part, self._in_step([pieces[i] for i in part], width)):
-                    out[i] = ids
-        return out
-
-    def _in_step(self, pieces: list[bytes], width: int) -> list[np.ndarray]:
+                ids, sizes[part] = self._in_step([pieces[i] for i in part], lengths[part], width)
+                found.append((part, ids))
+        starts = np.cumsum(sizes) - sizes
+        flat = np.empty(int(sizes.sum()), np.int64)
+        flat[starts[whole >= 0]] = whole[whole >= 0]
+        for part, ids in found:
+            flat[_spread(starts[part], sizes[part])] = ids
+        return flat, sizes
+
+    def _in_step(self, pieces: list[bytes], lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         n = len(pieces)
         ids = np.full((n, width + 1), -1, np.int64)  # the last column is what lies beyond the end
-        for r, piece in enumerate(pieces):
-            ids[r, : len(piece)] = self.byte[np.frombuffer(piece, np.uint8)]
+        ids[:, :-1][np.arange(width) < lengths[:, None]] = self.byte[np.frombuffer(b"".join(pieces), np.uint8)]
         place = np.arange(width)
         after = np.tile(np.append(place + 1, width), (n, 1))
         before = np.tile(np.append(np.append(width, place[:-1]), width), (n, 1))
@@ -116,7 +117,8 @@ class Merger:
             rows, at = live[some], previous[some]
             self._update(tree, rows, at, self._pair(ids[rows, at], ids[rows, left[some]]), width)
             live = live[tree[live, 1] < NONE * width]
-        return [row[:-1][row[:-1] >= 0] for row in ids]
+        live_ids = ids[:, :-1] >= 0
+        return ids[:, :-1][live_ids], live_ids.sum(axis=1)
 
     @staticmethod
     def _update(tree: np.ndarray, rows: np.ndarray, place: np.ndarray, rank: np.ndarray, width: int) -> None:
@@ -141,15 +143,14 @@ class Codec:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.ids, self.sizes, self.starts, self.filled = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), 0
+        self.ids, self.sizes, self.starts = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
-        found = self.merger.encode([p.encode("utf-8", "surrogatepass") for p in pieces])
+        ids, sizes = self.merger.encode([p.encode("utf-8", "surrogatepass") for p in pieces])
         self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
-        sizes = np.array([len(f) for f in found], np.int64)
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, *found])
+        self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         found = [self.pieces.findall(t) for t in texts]
@@ -157,7 +158,7 @@ class Codec:
             self._forget()
         new = set().union(*found).difference(self.number) if found else set()
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         lookup = self.number.__getitem__
         out = []
         for pieces in found:
