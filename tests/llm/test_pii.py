@@ -71,6 +71,15 @@ def test_copies_are_one_piece_of_evidence(spark):
     assert {r.n_terms for r in pii.personal_data(docs).collect()} == {0}
 
 
+@pytest.mark.parametrize("copies", [1, 2, 40])
+def test_copies_hide_no_term(spark, copies):
+    rows = [(k, f"other text {k}") for k in range(300)]
+    rows += [(1000 + k, "only zorblat knows jd@x.org") for k in range(copies)] + [(2000, "the zorblat of jd@x.org")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    assert found[1000] == "email:19:27,term_removed:5:12" and found[2000] == "email:15:23,term_removed:4:11"
+
+
 def test_odd_rows(odd, nothing):
     rows = pii.personal_data(odd).collect()
     assert len(rows) == odd.count()

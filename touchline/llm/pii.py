@@ -106,10 +106,11 @@ def words(text: Column) -> Column:
 def disclosing_terms(base: DataFrame, docs: DataFrame) -> DataFrame:
     """``entity``, ``term``, ``share`` of terms that give a protected value away. Stored.
 
-    A repeated text is one piece of evidence, so copies alone don't make a term disclosing; a
-    term's own frequency counts all rows. Values in a single text are left out: with one text
-    there is nothing to estimate from. Frequencies of all terms of the corpus are counted before
-    the shuffle.
+    A repeated text is one piece of evidence, for a pair, a value and a term alike, so copies
+    neither make a term disclosing nor hide one: a term found only beside the value has share 1.
+    Values in a single text are left out: with one text there is nothing to estimate from.
+    Frequencies of all terms of the corpus are counted before the shuffle; of texts only those
+    that are repeated are shuffled.
     """
     n = docs.count()
     holding = base.filter("text is not null").select(F.md5("text").alias("text_id"), "text", "base").dropDuplicates(["text_id"])
@@ -124,8 +125,11 @@ def disclosing_terms(base: DataFrame, docs: DataFrame) -> DataFrame:
     terms = holding.select("text_id", F.explode(F.array_distinct(words(plain))).alias("term"))
     met = terms.join(pairs, "text_id").groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"))
     met = stage(met.filter(F.col("n_both") >= MIN_TEXTS), "pii-met")
-    rows = docs.select(F.explode(F.array_distinct(words(F.coalesce("text", F.lit(""))))).alias("term"))
-    frequency = rows.groupBy("term").agg(F.count("*").alias("n_term"))
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("text_id", F.md5("text"))
+    repeated = stage(texts.groupBy("text_id").count().filter("count > 1").select("text_id"), "pii-repeated")
+    once = texts.join(repeated, "text_id", "left_anti").select("text")
+    once = once.union(texts.join(repeated, "text_id", "left_semi").dropDuplicates(["text_id"]).select("text"))
+    frequency = once.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     bits = F.log2(F.lit(float(n)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     share = bits / F.log2(F.lit(float(n)) / F.col("n_entity"))
     told = met.join(frequency, "term").withColumn("bits", bits).withColumn("share", share)
