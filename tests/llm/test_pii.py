@@ -80,6 +80,21 @@ def test_copies_hide_no_term(spark, copies):
     assert found[1000] == "email:19:27,term_removed:5:12" and found[2000] == "email:15:23,term_removed:4:11"
 
 
+def test_frequent_values_and_small_tables(spark):
+    """A contact in a third of 90 rows: its own term goes, words that are everywhere or met by chance stay."""
+    rows = [(k, f"common words and {'chancy' if k in (0, 60) else 'other'} text {k}") for k in range(60)]
+    rows += [(60 + k, f"common words {'and chancy' if k < 2 else ''} zorblat hot@x.org {k}") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert clean[75] == "common words   [EMAIL] 15"
+    assert clean[60] == "common words and chancy  [EMAIL] 0" and clean[0] == rows[0][1]
+
+
+def test_a_value_in_every_text(spark):
+    docs = spark.createDataFrame([(k, f"zorblat hot@x.org {k}") for k in range(9)], "doc_id bigint, text string")
+    assert {r.n_terms for r in pii.personal_data(docs).collect()} == {0}
+
+
 def test_odd_rows(odd, nothing):
     rows = pii.personal_data(odd).collect()
     assert len(rows) == odd.count()

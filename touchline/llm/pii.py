@@ -11,6 +11,8 @@ Everything is DataFrame functions; there is no Python in the tasks.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -33,8 +35,9 @@ PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 #: Shares of a value's information content from which a term is generalised or removed.
 GENERALISE, REMOVE = 0.9, 0.98
-#: A term must make the value so many bits likelier, and meet it in so many different texts.
-MIN_BITS, MIN_TEXTS = 6.0, 2
+#: A term must meet the value in so many different texts, and more often than chance would have any
+#: of the terms tried with the value do it, but for this probability.
+MIN_TEXTS, CHANCE = 2, 0.05
 
 
 def _digits(value: Column) -> Column:
@@ -103,12 +106,30 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+", -1), lambda w: w != "")
 
 
+def _log_chance(n: Column, both: Column, entity: Column, term: Column) -> Column:
+    """Logarithm of the chance (an upper bound) that independent value and term meet in so many of ``n`` texts; 0 if not more than expected.
+
+    The likelihood ratio of the two-by-two table against its expected counts, and the normal tail
+    of its root, which is at most exp(-g / 2) / sqrt(2 pi g).
+    """
+    def part(seen: Column, row: Column, column: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * n / (row * column))).otherwise(0.0)
+
+    g = 2 * (
+        part(both, entity, term) + part(entity - both, entity, n - term)
+        + part(term - both, n - entity, term) + part(n - entity - term + both, n - entity, n - term)
+    )
+    return F.when((both * n > entity * term) & (g > 0), F.least(-g / 2 - F.log(g * (2 * math.pi)) / 2, F.lit(0.0))).otherwise(0.0)
+
+
 def disclosing_terms(base: DataFrame, docs: DataFrame) -> DataFrame:
     """``entity``, ``term``, ``share`` of terms that give a protected value away. Stored.
 
     A repeated text is one piece of evidence, for a pair, a value and a term alike, so copies
     neither make a term disclosing nor hide one: a term found only beside the value has share 1.
-    Values in a single text are left out: with one text there is nothing to estimate from.
+    Values in a single text are left out: with one text there is nothing to estimate from. Others
+    are all tried, however frequent; that a pair is no accident is tested against what chance
+    gives among the terms tried with the value. A value in all texts tells nothing.
     Frequencies of all terms of the corpus are counted before the shuffle; of texts only those
     that are repeated are shuffled.
     """
@@ -118,7 +139,7 @@ def disclosing_terms(base: DataFrame, docs: DataFrame) -> DataFrame:
     entity = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
     pairs = holding.select("text_id", F.explode(entity).alias("entity"))
     known = pairs.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    known = known.filter((F.col("n_entity") >= MIN_TEXTS) & (F.log2(F.lit(float(n)) / F.col("n_entity")) >= MIN_BITS))
+    known = stage(known.filter(F.col("n_entity") >= MIN_TEXTS), "pii-known")
     pairs = stage(pairs.join(known, "entity"), "pii-entities")
     # Letters of addresses are not terms of the text.
     plain = F.regexp_replace("text", PATTERN["email"], " ")
@@ -126,14 +147,18 @@ def disclosing_terms(base: DataFrame, docs: DataFrame) -> DataFrame:
     met = terms.join(pairs, "text_id").groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"))
     met = stage(met.filter(F.col("n_both") >= MIN_TEXTS), "pii-met")
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("text_id", F.md5("text"))
-    repeated = stage(texts.groupBy("text_id").count().filter("count > 1").select("text_id"), "pii-repeated")
+    copies = stage(texts.groupBy("text_id").count(), "pii-copies")
+    n_texts = F.lit(float(copies.count()))
+    repeated = stage(copies.filter("count > 1").select("text_id"), "pii-repeated")
     once = texts.join(repeated, "text_id", "left_anti").select("text")
     once = once.union(texts.join(repeated, "text_id", "left_semi").dropDuplicates(["text_id"]).select("text"))
     frequency = once.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    bits = F.log2(F.lit(float(n)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    share = bits / F.log2(F.lit(float(n)) / F.col("n_entity"))
-    told = met.join(frequency, "term").withColumn("bits", bits).withColumn("share", share)
-    told = told.filter((F.col("bits") >= MIN_BITS) & (F.col("share") >= GENERALISE))
+    tried = stage(met.groupBy("entity").agg(F.count("*").alias("tried")), "pii-tried")
+    n_both, n_term, n_entity = (F.col(c).cast("double") for c in ("n_both", "n_term", "n_entity"))
+    share = F.log2(float(n) * n_both / (n_term * n_entity)) / F.nullif(F.log2(float(n) / n_entity), F.lit(0.0))
+    told = met.join(frequency, "term").join(tried, "entity").withColumn("share", share)
+    told = told.filter(_log_chance(n_texts, n_both, n_entity, n_term) + F.log("tried") <= math.log(CHANCE))
+    told = told.filter(F.col("share") >= GENERALISE)
     return stage(told.select("entity", "term", "share"), "pii-told")
 
 
@@ -142,7 +167,10 @@ def term_spans(base: DataFrame, docs: DataFrame) -> DataFrame:
     told = disclosing_terms(base, docs)
     rows = base.filter("text is not null").select("key", "text", "base").dropDuplicates(["key"])
     entity = F.explode(F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))))
-    wanted = rows.select("key", entity.alias("entity")).join(told, "entity").groupBy("key", "term").agg(F.max("share").alias("share"))
+    held = rows.select("key", "text", entity.alias("entity")).join(told.select("entity").distinct(), "entity", "left_semi")
+    # Terms of the row's own text only: a frequent value may have many.
+    held = held.select("key", "entity", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    wanted = held.join(told, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
     wanted = stage(wanted, "pii-wanted")
     pattern = r"\p{L}+"
     texts = rows.join(wanted.select("key").distinct(), "key", "left_semi")
