@@ -2,8 +2,8 @@
 
 Tree training has no SQL counterpart, so queries return what SQL can state of it: which rows are
 predicted, that predictions are finite numbers, how importances add up, how errors are ordered. The
-operators' defaults, which the weekly run uses, are 400 trees of depth 6; the queries fit FEW ones,
-because a default fit takes some minutes on one machine (README has the figures).
+queries fit the operators' defaults, 400 trees of depth 6, as the weekly run does (README has the
+figures); what one training gives is stored and shared by the queries of a session.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from touchline.plans import binding as b
 from touchline.plans.oracle import sql
 from touchline.plans.registry import query
 
-FEW = {"maxIter": 3, "maxDepth": 3}
-
 SPLIT = """
 split AS (
   SELECT *, CASE WHEN ROW_NUMBER() OVER (ORDER BY date, match_id) <= floor(COUNT(*) OVER () * 0.8::DOUBLE)
@@ -30,7 +28,15 @@ split AS (
 
 
 def trained(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return learn.train_all(b.mart(spark, sf), b.RUN_DATE, **FEW)
+    """What one training of all models gives; each table is stored once per session."""
+    made: dict[str, DataFrame] = {}
+
+    def of(name: str) -> DataFrame:
+        if not made:
+            made.update(learn.train_all(b.mart(spark, sf), b.RUN_DATE))
+        return made[name]
+
+    return {name: b.built(spark, sf, f"trained_{name}", lambda name=name: of(name)) for name in ("predictions", "model_metrics", "feature_importance")}
 
 
 @query(sql("SELECT match_id, part FROM split", SPLIT))
@@ -72,9 +78,7 @@ SELECT match_id, 'prorel' AS model_name, DATE '2001-08-01' AS run_date, CAST(att
 FROM split WHERE part = 'test'""", SPLIT))
 def train_one(spark: SparkSession, sf: str) -> DataFrame:
     """Holdout predictions of one fitted model."""
-    train, test = learn.chronological_split(learn.training_frame(b.mart(spark, sf)))
-    model = learn.train_one(train, MODELS["prorel"], **FEW)
-    return told(learn.score(model, test, MODELS["prorel"], "prorel", b.RUN_DATE))
+    return told(trained(spark, sf)["predictions"].filter("model_name = 'prorel'"))
 
 
 @query(f"""
@@ -122,7 +126,7 @@ def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
     """Every feature of the larger model, dealt out on the holdout."""
     train, test = learn.chronological_split(learn.training_frame(b.mart(spark, sf)))
     features = MODELS["prorel"]
-    found = learn.permutation_importance(learn.train_one(train, features, **FEW), test, features)
+    found = learn.permutation_importance(learn.train_one(train, features), test, features)
     return found.select("feature", (F.abs("delta_mae") < float("inf")).alias("finite"))
 
 
@@ -136,7 +140,7 @@ SELECT model_name, CAST(DATE '2001-08-01' + CAST(seed - 1 AS INT) AS DATE) AS ru
   CAST(n_test AS INT) AS n_test, CAST(seed AS INT) AS seed, true AS ordered FROM ({SIZES}), {NAMES}, range(1, 6) AS s(seed)""", SPLIT))
 def seed_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Repeated trainings on subsampled rows per tree."""
-    swept = learn.seed_sweep(b.mart(spark, sf), (1, 2, 3, 4, 5), dt.date(2001, 8, 1), subsamplingRate=0.7, **FEW)
+    swept = learn.seed_sweep(b.mart(spark, sf), (1, 2, 3, 4, 5), dt.date(2001, 8, 1), subsamplingRate=0.7)
     return errors_told(swept, "seed")
 
 
@@ -146,7 +150,7 @@ SELECT model_name, DATE '2001-08-01' AS run_date, CAST(floor(n * 0.8::DOUBLE) AS
 FROM (SELECT true AS drop_covid, COUNT(*) AS n FROM mart WHERE attendance IS NOT NULL AND NOT is_covid_affected
       UNION ALL SELECT false, COUNT(*) FROM mart WHERE attendance IS NOT NULL), {NAMES}"""))
 def covid_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
-    return errors_told(learn.covid_sensitivity(b.mart(spark, sf), b.RUN_DATE, **FEW), "drop_covid")
+    return errors_told(learn.covid_sensitivity(b.mart(spark, sf), b.RUN_DATE), "drop_covid")
 
 
 @query(sql("""
@@ -155,7 +159,7 @@ FROM stg_matches WHERE home_goals IS NULL"""))
 def score(spark: SparkSession, sf: str) -> DataFrame:
     """Forecasts of the fixtures without a result."""
     features = MODELS["prorel"]
-    model = learn.train_one(learn.training_frame(b.mart(spark, sf)), features, **FEW)
+    model = learn.train_one(learn.training_frame(b.mart(spark, sf)), features)
     fixtures = b.mart(spark, sf, include_unplayed=True)
     ahead = b.stg(spark, sf).filter("home_goals is null").select("match_id")
     return told(learn.score(model, fixtures.join(ahead, "match_id", "left_semi"), features, "prorel", b.RUN_DATE))
