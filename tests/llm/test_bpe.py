@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -54,3 +55,11 @@ def test_round_trip(odd):
     back = bpe.decode(bpe.encode(odd, RANKS, public_tokenizers.PATTERN), RANKS)
     key = lambda rows: sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in rows)
     assert key(back.collect()) == key(odd.select("doc_id", "text").collect())
+
+
+def test_trees_of_very_long_pieces():
+    """A short piece in the tree of a piece of more than 4,194,304 bytes merges as in its own."""
+    merger = bpe.Merger([b"a", b"b", b"ab", b"abab"], np.array([1, 2 << 20 | 2], np.int64), np.array([2, 3], np.int64))
+    for width in (8, 1 << 23):
+        ids, sizes = merger._in_step([b"ababaab"], np.array([7]), width)
+        assert (ids.tolist(), sizes.tolist()) == ([3, 0, 2], [3])

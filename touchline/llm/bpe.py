@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 
 from touchline.llm.common import id_and_text, small_batches
 
-NONE = np.int64(1) << 40
+#: Above every id (they have 20 bits), and small enough for NONE * width in 64 bits at any length of a text.
+NONE = np.int64(1) << 21
 #: Cells of one tree array: it stays in the processor's cache.
 CELLS = 1 << 17
 #: Distinct pieces that a task remembers before it starts anew.
