@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, embeddings, fingerprints, packing, pii, quality, sharding, simhash, toxicity, warc
+from touchline.llm import alignment, bpe, embeddings, fingerprints, packing, pii, quality, sharding, simhash, toxicity, warc
 from touchline.llm.common import table
 from touchline.llm.words import held_out
 
@@ -18,6 +18,7 @@ ORACLE: dict[str, str] = {}
 
 #: Vocabularies of public tokenizers; the operators take their contents as a parameter.
 RANKS, WORDS = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _query(fn):
@@ -131,3 +132,9 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     with open(public_tokenizers.path(RANKS), "rb") as file:
         ranks = file.read()
     return bpe.digests(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@_query
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    definitions = alignment.read_definitions(public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
+    return alignment.digests(table(spark, sf, "documents"), definitions)
