@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import alignment, bpe, conversations, embeddings, fingerprints, packing, pii, quality, sharding, simhash, toxicity, warc
+from touchline.llm import (
+    alignment, bpe, conversations, embeddings, fingerprints, licenses, packing, pii, quality, sharding, simhash, toxicity, warc,
+)
 from touchline.llm.common import table
 from touchline.llm.words import held_out
 
@@ -134,6 +136,11 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@_query
+def op11_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf, "documents"))
+
+
 @_query
 def op12_conversations(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations")
