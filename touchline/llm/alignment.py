@@ -27,11 +27,11 @@ from touchline.llm.common import id_and_text, small_batches
 from touchline.session import stage
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Bytes of text given to a tokenizer at once.
-BITE = 1 << 18
+BITE = 1 << 16
 #: Links of ids that are spelled out at once.
-SLICE = 1 << 21
+SLICE = 1 << 18
 BLOCK_SCHEMA = (
     "block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
     "groups_sha256 array<string>, code array<bigint>, holders array<bigint>, size array<bigint>, held binary, times binary"
