@@ -140,6 +140,81 @@ def test_permutation_importance_finds_the_used_feature(mart):
     assert set(got) == set(features) and got["month"] == 0.0 and got["rank_before"] > 0
 
 
+def test_permutation_takes_one_exchange(mart):
+    """Every feature's copy has its values from the deal of that column alone, and all come from one window."""
+    features = ["rank_before", "month", "last_home_gate"]
+    together = learn.permuted(mart, features, 7, 4)
+    plan = together._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    columns = ["match_id", *features]
+    for f in features:
+        alone = {tuple(r) for r in learn.shuffled(mart, f, 7, 4).select(columns).collect()}
+        assert {tuple(r) for r in together.filter(F.col("feature") == f).select(columns).collect()} == alone
+    assert {tuple(r) for r in together.filter("feature = ''").select(columns).collect()} == {tuple(r) for r in mart.select(columns).collect()}
+
+
+def test_stored_models_score_alike(spark, mart, tmp_path):
+    marked = learn.split_rows(mart)
+    models = learn.fit_models(marked, maxIter=2, maxDepth=2)
+    _, test = learn.parts_of(marked)
+    for name, model in models.items():
+        path = learn.stored(model, spark, str(tmp_path / name))
+        scored = [
+            sorted(tuple(r) for r in learn.score(m, test, config.MODELS[name], name, day("2024-12-01")).collect())
+            for m in (model, learn.read_model(path))
+        ]
+        assert scored[0] == scored[1]
+
+
+def test_fits_of_one_pool_equal_single_fits(mart):
+    """Jobs in threads share nothing: each fit is what it would be alone, with its own settings."""
+    features = ("rank_before", "last_home_gate")
+    jobs = {seed: (mart, features, {"seed": seed, "subsamplingRate": 0.5}) for seed in (1, 2, 3)}
+    together = learn.fit_all(jobs, 3, maxIter=2, maxDepth=2)
+    for seed, model in together.items():
+        alone = learn.train_one(mart, features, maxIter=2, maxDepth=2, seed=seed, subsamplingRate=0.5)
+        assert model.stages[-1].toDebugString.split("\n", 1)[1] == alone.stages[-1].toDebugString.split("\n", 1)[1]
+    with pytest.raises(Exception):
+        learn.fit_all({"bad": (mart, ("no_such_column",))}, 2, maxIter=1, maxDepth=1)
+
+
+def test_sweeps(mart):
+    swept = learn.seed_sweep(mart, (1, 2), day("2024-12-01"), maxIter=2, maxDepth=2, subsamplingRate=0.7).collect()
+    assert {(r.seed, r.model_name, r.run_date) for r in swept} == {
+        (s, m, day(f"2024-12-0{s}")) for s in (1, 2) for m in ("naive_club_mean", "baseline", "prorel")
+    }
+    assert len({r.mae for r in swept if r.model_name == "naive_club_mean"}) == 1
+    alone = {r.model_name: r.mae for r in learn.train_all(
+        mart, day("2024-12-02"), seed=2, maxIter=2, maxDepth=2, subsamplingRate=0.7)["model_metrics"].collect()}
+    assert {r.model_name: r.mae for r in swept if r.seed == 2} == pytest.approx(alone)
+    both = learn.covid_sensitivity(mart, day("2024-12-01"), maxIter=1, maxDepth=1).collect()
+    assert {(r.drop_covid, r.n_train + r.n_test) for r in both} == {(True, 360), (False, 400)} and len(both) == 6
+
+
+def test_folds_of_the_naive_model(mart):
+    """One pass gives what filtering each fold gives; a club new to a season has the overall mean."""
+    season = F.col("season") - F.substring("match_id", 4, 1).cast("int") % 3
+    club = F.when(season == 2024, F.coalesce(F.nullif("home_club_id", F.lit("c0")), F.lit("new"))).otherwise(F.col("home_club_id"))
+    seasons = mart.withColumns({"season": season, "home_club_id": club}).cache()
+    found = {r.season: r for r in learn.fold_metrics(seasons).collect()}
+    for fold, train, test in learn.season_folds(seasons):
+        alone = one(learn.error_metrics(learn.naive_club_mean(train, test, day("2024-01-01")), train.count()))
+        r = found.pop(fold)
+        assert (r.mae, r.mape, r.rmse) == pytest.approx((alone.mae, alone.mape, alone.rmse))
+        assert (r.n_train, r.n_test) == (alone.n_train, alone.n_test)
+    assert not found
+    models = {(r.season, r.model_name): r for r in learn.fold_models(seasons, maxIter=3, maxDepth=3).collect()}
+    assert len(models) == 6 and all(models[s, "naive_club_mean"].n_train == models[s, "prorel"].n_train for s in (2023, 2024))
+    for s in (2023, 2024):
+        assert models[s, "naive_club_mean"].gain == pytest.approx(models[s, "baseline"].mae - models[s, "prorel"].mae)
+
+
+def test_too_many_opponents_are_refused(mart, monkeypatch):
+    monkeypatch.setattr(learn, "MOST_CLUBS", 4)
+    with pytest.raises(ValueError, match="more than 4"):
+        learn.train_one(mart, config.MODELS["baseline"], maxIter=1, maxDepth=1)
+
+
 def test_dealing_keeps_the_values(mart):
     dealt = learn.shuffled(mart, "attendance", 1, 4)
     a, b = ([r[0] for r in df.select("attendance").orderBy("attendance").collect()] for df in (mart, dealt))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Hashable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -13,9 +15,13 @@ from pyspark.sql import functions as F
 
 from touchline.config import EVIDENCE, MODELS, PROREL, TARGET, TEST_FRACTION, TREES
 from touchline.operators.ordered import UNBOUNDED, numbered
-from touchline.session import stage
+from touchline.session import scratch_path, stage
 
 CLUB = "opponent_club_id"
+#: Fits submitted at once. A tree is a chain of small jobs, so one fit leaves most of a cluster idle.
+PARALLEL = 8
+#: Clubs that trees can tell apart: their labels are on the driver, and a histogram has as many bins.
+MOST_CLUBS = 10_000
 
 
 def feature_catalog(spark: SparkSession) -> DataFrame:
@@ -83,6 +89,64 @@ def fold_sizes(df: DataFrame) -> DataFrame:
     )
 
 
+def naive_folds(rows: DataFrame) -> DataFrame:
+    """``season``, ``match_id``, ``predicted``, ``actual``, ``n_train``: the naive model on every expanding-window fold, in one pass.
+
+    A club's mean over all earlier seasons is a running sum over its seasons, so no fold is filtered
+    out of the table again; without an earlier season the mean of all clubs' earlier gates stands in. The
+    first season has nothing to learn from and is no fold.
+    """
+    known = rows.filter(F.col(TARGET).isNotNull()).select("season", "match_id", "home_club_id", F.col(TARGET).cast("double").alias("actual"))
+    by_club = stage(known.groupBy("season", "home_club_id").agg(F.sum("actual").alias("s"), F.count("*").alias("n")), "club-seasons")
+    earlier = Window.partitionBy("home_club_id").orderBy("season").rowsBetween(UNBOUNDED, -1)
+    own = by_club.select("season", "home_club_id", (F.sum("s").over(earlier) / F.sum("n").over(earlier)).alias("own"))
+    # One row per season.
+    upto = Window.orderBy("season").rowsBetween(UNBOUNDED, -1)
+    every = by_club.groupBy("season").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).select(
+        "season", (F.sum("s").over(upto) / F.sum("n").over(upto)).alias("all"), F.sum("n").over(upto).alias("n_train")
+    )
+    means = stage(own.join(every.filter("n_train is not null"), "season"), "fold-means")
+    return known.join(means, ["season", "home_club_id"]).select(
+        "season", "match_id", F.coalesce("own", "all").alias("predicted"), "actual", "n_train"
+    )
+
+
+def fold_metrics(rows: DataFrame) -> DataFrame:
+    """The naive model's errors on every fold: ``season``, ``mae``, ``mape``, ``rmse``, ``n_train``, ``n_test``."""
+    return _fold_errors(naive_folds(rows), "season")
+
+
+def _fold_errors(predictions: DataFrame, *by: str) -> DataFrame:
+    error = F.col("predicted") - F.col("actual")
+    return predictions.groupBy(*by).agg(
+        F.avg(F.abs(error)).alias("mae"), F.avg(F.abs(error / F.nullif("actual", F.lit(0.0)))).alias("mape"),
+        F.sqrt(F.avg(error * error)).alias("rmse"), F.max("n_train").alias("n_train"), F.count("*").alias("n_test"),
+    )
+
+
+def fold_models(rows: DataFrame, parallel: int = PARALLEL, **trees: object) -> DataFrame:
+    """Errors of the naive model and of both tree models on every fold, and how much smaller the larger model's MAE is.
+
+    ``season``, ``model_name``, ``mae``, ``mape``, ``rmse``, ``n_train``, ``n_test``, ``gain`` (baseline's MAE less
+    prorel's, the same in a fold's rows). All fits of all folds are submitted together.
+    """
+    known = stage(rows.filter(F.col(TARGET).isNotNull()), "fold-rows")
+    folds = list(season_folds(known))
+    models = fit_all({(season, m): (train, MODELS[m]) for season, train, _ in folds for m in MODELS}, parallel, **trees)
+    scored = naive_folds(known).withColumn("model_name", F.lit("naive_club_mean"))
+    sizes = stage(fold_sizes(known), "fold-sizes")
+    for season, _, test in folds:
+        for m, features in MODELS.items():
+            found = score(models[season, m], test, features, m, dt.date(1970, 1, 1)).withColumn("season", F.lit(season))
+            found = found.join(sizes.select("season", "n_train"), "season")
+            scored = scored.unionByName(found.select("season", "match_id", "predicted", "actual", "n_train", "model_name"))
+    errors = stage(_fold_errors(scored, "season", "model_name"), "fold-errors")
+    gain = errors.groupBy("season").agg(
+        (F.max(F.when(F.col("model_name") == "baseline", F.col("mae"))) - F.max(F.when(F.col("model_name") == "prorel", F.col("mae")))).alias("gain")
+    )
+    return errors.join(gain, "season")
+
+
 def model_input(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     """Numbers for the trees: flags as 0/1, missing lags as -1, the opponent stays text."""
     numeric = [F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in features if c != CLUB]
@@ -92,12 +156,14 @@ def model_input(rows: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def train_one(train: DataFrame, features: Sequence[str], **trees: object) -> PipelineModel:
-    """Fit boosted trees on a column list."""
+    """Fit boosted trees on a column list. More than MOST_CLUBS opponents are an error: group the rare ones first."""
     params = {**TREES, **trees}
     stages, columns = [], list(features)
     if CLUB in features:
         indexer = StringIndexer(inputCol=CLUB, outputCol="_club", handleInvalid="keep")
         columns[columns.index(CLUB)] = "_club"
+        if train.select(CLUB).distinct().limit(MOST_CLUBS + 1).count() > MOST_CLUBS:
+            raise ValueError(f"more than {MOST_CLUBS} values of {CLUB}")
         indexed = indexer.fit(train)
         stages.append(indexed)
         params.setdefault("maxBins", max(32, len(indexed.labels) + 1))
@@ -106,6 +172,40 @@ def train_one(train: DataFrame, features: Sequence[str], **trees: object) -> Pip
     return Pipeline(stages=stages).fit(model_input(train, features))
 
 
+def fit_all(
+    jobs: Mapping[Hashable, tuple[DataFrame, Sequence[str]] | tuple[DataFrame, Sequence[str], dict]], parallel: int = PARALLEL, **trees: object
+) -> dict[Hashable, PipelineModel]:
+    """Independent fits, each of (rows, features) or (rows, features, its own tree settings), ``parallel`` at a time.
+
+    Rows should be staged: every fit reads them. Fits run in threads of the driver, which only submit jobs; each
+    has the session's properties and a scheduler pool of its own, so under a fair scheduler none waits for another.
+    """
+    def fit(key: Hashable, train: DataFrame, features: Sequence[str], own: dict | None = None) -> PipelineModel:
+        context = train.sparkSession.sparkContext
+        context.setLocalProperty("spark.scheduler.pool", f"fit-{key}")
+        try:
+            return train_one(train, features, **{**trees, **(own or {})})
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max(1, min(parallel, len(jobs) or 1))) as pool:
+        running = {}
+        for key, job in jobs.items():
+            running[key] = pool.submit(inheritable_thread_target(job[0].sparkSession)(fit), key, *job)
+        return {key: each.result() for key, each in running.items()}
+
+
+def stored(model: PipelineModel, spark: SparkSession, path: str | None = None) -> str:
+    """Write a fitted model to shared storage (new scratch by default) and return where; ``read_model`` gives it back."""
+    path = path or scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    return path
+
+
+def read_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def score(model: PipelineModel, rows: DataFrame, features: Sequence[str], name: str, run_date: dt.date) -> DataFrame:
     """Predictions in the history layout; ``actual`` is null until the match is played."""
     return model.transform(model_input(rows, features)).select(
@@ -174,61 +274,110 @@ def shuffled(rows: DataFrame, column: str, seed: int, buckets: int) -> DataFrame
     )
 
 
+def permuted(rows: DataFrame, features: Sequence[str], seed: int, buckets: int) -> DataFrame:
+    """Every row once as it is (``feature`` is empty) and once per feature with that feature's value dealt from another row.
+
+    One window deals a row all features of the next one in its bucket, as ``shuffled`` deals one column;
+    the copies are made behind it, so there is one exchange whatever the number of features.
+    """
+    order = Window.partitionBy("_bucket").orderBy("_draw", "match_id")
+    values = F.struct(*features)
+    wrapped = F.first(values).over(order.rowsBetween(UNBOUNDED, Window.unboundedFollowing))
+    dealt = rows.withColumns({
+        "_bucket": F.pmod(F.xxhash64("match_id", F.lit(seed)), F.lit(buckets)), "_draw": F.xxhash64(F.lit(seed), "match_id"),
+    }).withColumn("_dealt", F.coalesce(F.lead(values).over(order), wrapped))
+    others = [c for c in rows.columns if c not in features]
+    copies = dealt.select(*others, *features, "_dealt", F.explode(F.array(F.lit(""), *[F.lit(f) for f in features])).alias("feature"))
+    return copies.select(
+        "feature", *others, *[F.when(F.col("feature") == f, F.col(f"_dealt.{f}")).otherwise(F.col(f)).alias(f) for f in features]
+    )
+
+
 def permutation_importance(
     model: PipelineModel, test: DataFrame, features: Sequence[str], seed: int = 42, buckets: int = 8
 ) -> DataFrame:
     """Rise of the holdout's MAE when one feature is dealt out at random.
 
     Values are dealt within ``buckets`` parts of the holdout: as many as it takes for a part to fit a task.
+    All features are dealt by one exchange and scored by one transform.
     """
-    day = dt.date(1970, 1, 1)
-    test = stage(test, "holdout")
-    parts = [score(model, test, features, "", day)]
-    parts += [score(model, shuffled(test, f, seed, buckets), features, f, day) for f in features]
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
+    scored = model.transform(model_input(permuted(test.filter(F.col(TARGET).isNotNull()), features, seed, buckets), features))
     # Decimals add up to the same sum in any order, so a feature the model does not use costs exactly nothing.
-    error = F.abs(F.col("predicted") - F.col("actual")).cast("decimal(28,12)")
-    mae = scored.filter("actual is not null").groupBy(F.col("model_name").alias("feature")).agg(F.avg(error).cast("double").alias("mae"))
-    errors = stage(mae, "permuted")
-    base = errors.filter("feature = ''").first().mae
-    return errors.filter("feature <> ''").select("feature", (F.col("mae") - base).alias("delta_mae"))
+    error = F.abs(F.col("predicted") - F.col(TARGET).cast("double")).cast("decimal(28,12)")
+    errors = stage(scored.groupBy("feature").agg(F.avg(error).cast("double").alias("mae")), "permuted")
+    base = errors.filter("feature = ''").first()
+    return errors.filter("feature <> ''").select("feature", (F.col("mae") - F.lit(base.mae if base else None)).alias("delta_mae"))
 
 
-def train_all(mart: DataFrame, run_date: dt.date, drop_covid: bool = True, **trees: object) -> dict[str, DataFrame]:
-    """Naive, baseline and larger model on one split: predictions, metrics, importance."""
-    spark = mart.sparkSession
-    marked = stage(with_split(training_frame(mart, drop_covid)), "split")
-    train, test = (marked.filter(F.col("part") == p) for p in ("train", "test"))
-    predictions, gains = naive_club_mean(train, test, run_date), None
-    for name, features in MODELS.items():
-        model = train_one(train, features, **trees)
-        predictions = predictions.unionByName(score(model, test, features, name, run_date))
-        found = importance(model, features, name, run_date, spark)
-        gains = found if gains is None else gains.unionByName(found)
+def split_rows(mart: DataFrame, drop_covid: bool = True) -> DataFrame:
+    """Training rows with their ``part``. Stored: every fit and score reads them."""
+    return stage(with_split(training_frame(mart, drop_covid)), "split")
+
+
+def parts_of(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tuple(marked.filter(F.col("part") == p) for p in ("train", "test"))
+
+
+def gains_of(models: Mapping[str, PipelineModel], run_date: dt.date, spark: SparkSession) -> DataFrame:
+    """Importances of all models, by name."""
+    tables = [importance(model, MODELS[name], name, run_date, spark) for name, model in models.items()]
+    found = tables[0]
+    for table in tables[1:]:
+        found = found.unionByName(table)
+    return found
+
+
+def results(marked: DataFrame, models: Mapping[str, PipelineModel], run_date: dt.date) -> dict[str, DataFrame]:
+    """Predictions, metrics and importances of fitted ``models`` and the naive one on the split rows ``marked``."""
+    train, test = parts_of(marked)
+    predictions = naive_club_mean(train, test, run_date)
+    for name, model in models.items():
+        predictions = predictions.unionByName(score(model, test, MODELS[name], name, run_date))
     predictions = stage(predictions, "predictions")
-    metrics = error_metrics(predictions, train.count())
-    return {"predictions": predictions, "model_metrics": metrics, "feature_importance": gains}
+    return {
+        "predictions": predictions, "model_metrics": error_metrics(predictions, train.count()),
+        "feature_importance": gains_of(models, run_date, marked.sparkSession),
+    }
 
 
-def seed_sweep(mart: DataFrame, seeds: Sequence[int], first_date: dt.date, **trees: object) -> DataFrame:
-    """Metrics of repeated trainings, one run date per seed."""
-    runs = []
-    for k, seed in enumerate(seeds):
-        day = first_date + dt.timedelta(days=k)
-        metrics = train_all(mart, day, **{**trees, "seed": seed})["model_metrics"]
-        runs.append(metrics.withColumn("seed", F.lit(seed)))
-    swept = runs[0]
-    for run in runs[1:]:
-        swept = swept.unionByName(run)
-    return swept
+def fit_models(marked: DataFrame, names: Iterable[str] = tuple(MODELS), **trees: object) -> dict[str, PipelineModel]:
+    """The named models, fitted at once on the training part of split rows."""
+    train, _ = parts_of(marked)
+    return fit_all({name: (train, MODELS[name]) for name in names}, **trees)
 
 
-def covid_sensitivity(mart: DataFrame, run_date: dt.date, **trees: object) -> DataFrame:
-    """Metrics with and without the affected period."""
+def train_all(mart: DataFrame, run_date: dt.date, drop_covid: bool = True, **trees: object) -> dict[str, DataFrame]:
+    """Naive, baseline and larger model on one split: predictions, metrics, importance."""
+    marked = split_rows(mart, drop_covid)
+    return results(marked, fit_models(marked, **trees), run_date)
+
+
+def seed_sweep(mart: DataFrame, seeds: Sequence[int], first_date: dt.date, parallel: int = PARALLEL, **trees: object) -> DataFrame:
+    """Metrics of repeated trainings, one run date per seed.
+
+    The split and the naive model are the same for all seeds and are made once; all fits are submitted together.
+    """
+    marked = split_rows(mart)
+    train, test = parts_of(marked)
+    models = fit_all({(seed, m): (train, MODELS[m], {"seed": seed}) for seed in seeds for m in MODELS}, parallel, **trees)
+    days = {seed: first_date + dt.timedelta(days=k) for k, seed in enumerate(seeds)}
+    naive = stage(naive_club_mean(train, test, first_date), "naive")
+    swept = None
+    for seed, day in days.items():
+        found = naive.withColumn("run_date", F.lit(day))
+        for m, features in MODELS.items():
+            found = found.unionByName(score(models[seed, m], test, features, m, day))
+        swept = found if swept is None else swept.unionByName(found)
+    seed_of = F.create_map(*[F.lit(v) for seed, day in days.items() for v in (day, seed)])
+    return error_metrics(swept, train.count()).withColumn("seed", F.element_at(seed_of, F.col("run_date")))
+
+
+def covid_sensitivity(mart: DataFrame, run_date: dt.date, parallel: int = PARALLEL, **trees: object) -> DataFrame:
+    """Metrics with and without the affected period; all fits are submitted together."""
+    marked = {flag: split_rows(mart, flag) for flag in (True, False)}
+    models = fit_all({(flag, m): (parts_of(rows)[0], MODELS[m]) for flag, rows in marked.items() for m in MODELS}, parallel, **trees)
     runs = [
-        train_all(mart, run_date, drop_covid=flag, **trees)["model_metrics"].withColumn("drop_covid", F.lit(flag))
-        for flag in (True, False)
+        results(rows, {m: models[flag, m] for m in MODELS}, run_date)["model_metrics"].withColumn("drop_covid", F.lit(flag))
+        for flag, rows in marked.items()
     ]
     return runs[0].unionByName(runs[1])

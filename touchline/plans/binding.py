@@ -26,6 +26,7 @@ RUN_DATE = dt.date(2001, 8, 1)
 PLAYOFF_SPOTS, RELEGATION_SPOTS = 2, 1
 
 _built: dict[tuple, DataFrame] = {}
+_kept: dict[tuple, object] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -40,9 +41,15 @@ def built(spark: SparkSession, sf: str, name: str, make) -> DataFrame:
     return _built[key]
 
 
+def kept(spark: SparkSession, sf: str, name: str, make):
+    """A value of the session, such as paths of stored models, made once."""
+    return _kept.setdefault((spark.sparkContext.applicationId, sf, name), make())
+
+
 def forget() -> None:
-    """Drop the record of built tables, so the next query builds them again."""
+    """Drop the record of built tables and models, so the next query builds them again."""
     _built.clear()
+    _kept.clear()
 
 
 def payload(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,13 +3,14 @@
 Tree training has no SQL counterpart, so queries return what SQL can state of it: which rows are
 predicted, that predictions are finite numbers, how importances add up, how errors are ordered. The
 queries fit the operators' defaults, 400 trees of depth 6, as the weekly run does (README has the
-figures); what one training gives is stored and shared by the queries of a session.
+figures); a fitted model is stored, and read back by the other queries of a session.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,16 +28,18 @@ split AS (
 )"""
 
 
-def trained(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """What one training of all models gives; each table is stored once per session."""
-    made: dict[str, DataFrame] = {}
+def split_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return b.built(spark, sf, "split_rows", lambda: learn.split_rows(b.mart(spark, sf)))
 
-    def of(name: str) -> DataFrame:
-        if not made:
-            made.update(learn.train_all(b.mart(spark, sf), b.RUN_DATE))
-        return made[name]
 
-    return {name: b.built(spark, sf, f"trained_{name}", lambda name=name: of(name)) for name in ("predictions", "model_metrics", "feature_importance")}
+def fitted(spark: SparkSession, sf: str, *names: str) -> dict[str, PipelineModel]:
+    """The named models, each fitted and stored once per session; what is missing is fitted at once."""
+    paths = b.kept(spark, sf, "models", dict)
+    missing = [name for name in names if name not in paths]
+    if missing:
+        for name, model in learn.fit_models(split_rows(spark, sf), missing).items():
+            paths[name] = learn.stored(model, spark)
+    return {name: learn.read_model(paths[name]) for name in names}
 
 
 @query(sql("SELECT match_id, part FROM split", SPLIT))
@@ -52,6 +55,24 @@ def season_folds(spark: SparkSession, sf: str) -> DataFrame:
     return learn.fold_sizes(b.mart(spark, sf))
 
 
+@query(sql("""
+SELECT season, round(AVG(abs(predicted - actual)), 4) AS mae, round(AVG(abs((predicted - actual) / NULLIF(actual, 0))), 6) AS mape,
+  round(sqrt(AVG((predicted - actual) * (predicted - actual))), 4) AS rmse, n_train, COUNT(*) AS n_test
+FROM fold GROUP BY season, n_train""", """
+fold AS (
+  SELECT t.season, CAST(t.attendance AS DOUBLE) AS actual, CAST(a.n AS BIGINT) AS n_train, COALESCE(
+    (SELECT AVG(attendance) FROM mart c WHERE c.home_club_id = t.home_club_id AND c.season < t.season AND NOT c.is_covid_affected), a.m) AS predicted
+  FROM mart t JOIN (SELECT s.season, COUNT(e.attendance) AS n, AVG(e.attendance) AS m FROM (SELECT DISTINCT season FROM mart) s
+    JOIN mart e ON e.season < s.season AND NOT e.is_covid_affected GROUP BY ALL) a ON a.season = t.season AND a.n > 0
+  WHERE t.attendance IS NOT NULL AND NOT t.is_covid_affected
+)"""))
+def fold_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The naive model's errors, season by season, learned from all seasons before."""
+    digits = {"mae": 4, "mape": 6, "rmse": 4}
+    found = learn.fold_metrics(learn.training_frame(b.mart(spark, sf)))
+    return found.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
 def told(predictions: DataFrame) -> DataFrame:
     """Predictions, with ``finite`` in place of the number."""
     number = F.col("predicted")
@@ -78,7 +99,8 @@ SELECT match_id, 'prorel' AS model_name, DATE '2001-08-01' AS run_date, CAST(att
 FROM split WHERE part = 'test'""", SPLIT))
 def train_one(spark: SparkSession, sf: str) -> DataFrame:
     """Holdout predictions of one fitted model."""
-    return told(trained(spark, sf)["predictions"].filter("model_name = 'prorel'"))
+    model, (_, test) = fitted(spark, sf, "prorel")["prorel"], learn.parts_of(split_rows(spark, sf))
+    return told(learn.score(model, test, MODELS["prorel"], "prorel", b.RUN_DATE))
 
 
 @query(f"""
@@ -86,7 +108,7 @@ SELECT 'baseline' AS model_name, DATE '2001-08-01' AS run_date, feature, false A
 UNION ALL SELECT 'prorel', DATE '2001-08-01', feature, feature NOT IN ({features_of('baseline')}), true FROM ({features_of('prorel')})""")
 def importance(spark: SparkSession, sf: str) -> DataFrame:
     """Every feature of every model; importances are not negative and add up to 1."""
-    gains = trained(spark, sf)["feature_importance"]
+    gains = learn.gains_of(fitted(spark, sf, *MODELS), b.RUN_DATE, spark)
     sums = gains.groupBy("model_name", "run_date").agg(
         (F.abs(F.sum("importance") - 1) < 1e-9).alias("whole"), F.min("importance").alias("least")
     )
@@ -124,15 +146,14 @@ def top_features(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"SELECT feature, true AS finite FROM ({features_of('prorel')})")
 def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
     """Every feature of the larger model, dealt out on the holdout."""
-    train, test = learn.chronological_split(learn.training_frame(b.mart(spark, sf)))
-    features = MODELS["prorel"]
-    found = learn.permutation_importance(learn.train_one(train, features), test, features)
+    model, (_, test) = fitted(spark, sf, "prorel")["prorel"], learn.parts_of(split_rows(spark, sf))
+    found = learn.permutation_importance(model, test, MODELS["prorel"])
     return found.select("feature", (F.abs("delta_mae") < float("inf")).alias("finite"))
 
 
 @query(sql(f"SELECT model_name, DATE '2001-08-01' AS run_date, CAST(n_train AS INT) AS n_train, CAST(n_test AS INT) AS n_test, true AS ordered FROM ({SIZES}), {NAMES}", SPLIT))
 def train_all(spark: SparkSession, sf: str) -> DataFrame:
-    return errors_told(trained(spark, sf)["model_metrics"])
+    return errors_told(learn.results(split_rows(spark, sf), fitted(spark, sf, *MODELS), b.RUN_DATE)["model_metrics"])
 
 
 @query(sql(f"""
