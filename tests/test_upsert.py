@@ -6,6 +6,7 @@ import pytest
 from conftest import one
 from pyspark.sql import functions as F
 
+from touchline.operators import runlog, snapshot
 from touchline.operators import upsert as up
 
 SCHEMA = "match_id string, season int, attendance string, ingested_at timestamp"
@@ -113,3 +114,95 @@ def test_rebuild_twice_and_publish(spark, tmp_path, first):
     up.publish(first, public, 3)
     (tmp_path / "public" / "version=0000000003" / "_SUCCESS").unlink()  # a write that did not finish
     assert up.read_published(spark, public).count() == 1
+
+
+def test_keys_are_looked_up_where_they_can_be(spark, tmp_path):
+    """Seasons whose keys don't meet the batch's are not opened: one of them is gone here."""
+    path = str(tmp_path / "raw")
+    up.upsert_table(spark, path, spark.createDataFrame(
+        [(f"a{k}", 2022, "1", at(1)) for k in range(3)] + [(f"m{k}", 2023, "1", at(1)) for k in range(3)], SCHEMA))
+    for file in (tmp_path / "raw" / "load=1" / "season=2022").iterdir():
+        file.unlink()
+    batch = spark.createDataFrame([("m1", 2024, "2", at(2)), ("z1", 2024, "1", at(2))], SCHEMA)
+    assert tuple(one(up.upsert_table(spark, path, batch))) == (1, 1, 0, 2)
+    now = {(r.match_id, r.season) for r in up.read_table(spark, path, batch.schema).collect()}
+    assert now == {("m0", 2023), ("m2", 2023), ("m1", 2024), ("z1", 2024)}
+
+
+def test_a_batch_counts_once(spark, tmp_path, first):
+    path = str(tmp_path / "raw")
+    assert tuple(one(up.upsert_table(spark, path, first, source="s", batch_id=0))) == (4, 0, 0, 4)
+    more = spark.createDataFrame([("m0", 2024, "9", at(2)), ("x", 2025, "1", at(2))], SCHEMA)
+    for _ in range(3):
+        assert tuple(one(up.upsert_table(spark, path, more, source="s", batch_id=1))) == (1, 1, 0, 2)
+        assert up.newest_load(spark, path) == 2
+    assert tuple(one(up.upsert_table(spark, path, first, source="s", batch_id=0))) == (0, 0, 0, 0)
+    assert tuple(one(up.upsert_table(spark, path, more, source="other", batch_id=0))) == (0, 0, 2, 2)
+    assert tuple(one(up.upsert_table(spark, path, more))) == (0, 0, 2, 2)
+    assert tuple(one(up.upsert_table(spark, path, more, source="s", batch_id=1))) == (1, 1, 0, 2)
+    assert up.newest_load(spark, path) == 4 and up.read_table(spark, path).count() == 5
+
+
+def test_loads_expire_behind_their_readers(spark, tmp_path, first):
+    path = str(tmp_path / "raw")
+    for k in range(4):
+        up.upsert_table(spark, path, first.withColumns({"attendance": F.lit(str(k)), "ingested_at": F.lit(at(k + 2))}))
+    held = up.read_table(spark, path, load=3)
+    assert up.expire_loads(spark, path, keep=2) == [1, 2]
+    assert {r.attendance for r in held.collect()} == {"2"} and {r.attendance for r in up.read_table(spark, path).collect()} == {"3"}
+    assert up.published_versions(spark, f"{path}/_manifest") == [3, 4]
+    (tmp_path / "raw" / "load=5").mkdir()  # being written
+    assert up.expire_loads(spark, path, keep=1) == [3] and (tmp_path / "raw" / "load=5").exists()
+
+
+def test_backfill_writes_the_table(spark, tmp_path, first):
+    path = str(tmp_path / "raw")
+    records = first.unionByName(spark.createDataFrame([("x", 2025, "1", at(2)), ("y", 2030, "1", at(2))], SCHEMA))
+    seasons = spark.createDataFrame([("2024",), ("2025",)], "season string")
+    assert {r.season: (r.inserted, r.total) for r in up.backfill_table(spark, path, records, seasons).collect()} == {2024: (4, 4), 2025: (1, 1)}
+    assert up.read_table(spark, path).count() == 5
+    again = up.backfill_table(spark, path, records, seasons)
+    assert {r.season: (r.inserted, r.unchanged) for r in again.collect()} == {2024: (0, 4), 2025: (0, 1)}
+
+
+def test_writes_count_themselves(spark, tmp_path, first):
+    df, seen = up.write_counted(first, str(tmp_path / "t"), known=F.count("attendance"), last=F.max("ingested_at"))
+    assert df.count() == 4 and (seen["rows"], seen["known"], seen["last"]) == (4, 4, at(1))
+
+
+def test_a_snapshot_is_whole(spark, tmp_path, first):
+    root = str(tmp_path / "w")
+    for number in (1, 2, 3):
+        assert snapshot.next_version(spark, root) == number
+        for name in ("a", "b"):
+            snapshot.write(first.withColumn("attendance", F.lit(str(number))), root, name, number)
+        if number < 3:
+            snapshot.commit(spark, root, {"a": number, "b": number}, number)
+    now = lambda name, **v: {r.attendance for r in snapshot.read(spark, root, name, **v).collect()}
+    assert now("a") == now("b") == {"2"} and now("a", version=1) == {"1"}  # the third run broke off before its commit
+    snapshot.commit(spark, root, {"a": 3}, 3)
+    assert (now("a"), now("b")) == ({"3"}, {"2"})
+    assert sorted(snapshot.expire(spark, root, keep=2)) == [("a", 1), ("b", 1), ("b", 3)]  # b of the run that broke off, too
+    assert now("a", version=2) == {"2"} and (now("a"), now("b")) == ({"3"}, {"2"})
+    assert snapshot.expire(spark, root, keep=1) == [("a", 2)]
+    with pytest.raises(KeyError):
+        snapshot.read(spark, root, "c")
+
+
+def test_logs_are_compacted_behind_their_readers(spark, tmp_path):
+    path, folder = str(tmp_path / "log"), tmp_path / "log"
+    log = lambda k: runlog.start_stage(spark, path, f"r{k}", "ingest", at(k % 24))
+    runs = lambda df: sorted(r.run_id for r in df.select("run_id").collect())
+    for k in range(6):
+        log(k)
+    before = runlog.read_log(spark, path)
+    assert runlog.compact_log(spark, path) == 1
+    log(6)
+    assert runs(before) == [f"r{k}" for k in range(6)] and runs(runlog.read_log(spark, path)) == [f"r{k}" for k in range(7)]
+    held = runlog.read_log(spark, path)
+    assert runlog.compact_log(spark, path) == 2  # the first one's files go now
+    assert len(list(folder.glob("*.parquet"))) == 1 and len(list(folder.glob("_compacted/version=*2/rows/*.parquet"))) == 1
+    assert runs(held) == runs(runlog.read_log(spark, path)) == [f"r{k}" for k in range(7)]
+    log(7)
+    assert runlog.compact_log(spark, path) == 3 and runs(runlog.read_log(spark, path)) == [f"r{k}" for k in range(8)]
+    assert not (folder / "_compacted" / "version=0000000001").exists()

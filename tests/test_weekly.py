@@ -10,6 +10,7 @@ from conftest import day, round_robin
 
 from touchline.operators import runlog
 from touchline.operators.checks import CheckFailure
+from touchline.plans import weekly as plan
 from touchline.plans.weekly import Settings, weekly
 
 AS_OF = dt.datetime(2024, 6, 4, 6)
@@ -112,3 +113,30 @@ def test_weekly_run(spark, league_files):
     assert {(r.stage, r.status) for r in failed} == {("ingest", "success"), ("transform", "failed")}
     flips = runlog.check_flips(spark.read.parquet(s.path("check_log"))).collect()
     assert {r.check_name for r in flips} == {"all_clubs_mapped", "bodies_parse"}
+
+
+def test_a_run_that_breaks_off_leaves_the_whole_old_state(spark, league_files, monkeypatch):
+    s = settings(league_files)
+    weekly(spark, s, AS_OF)
+    names = ("stg_matches", "int_standings", "mart_match_features", "raw_matches")
+    state = lambda: [sorted(tuple(r) for r in plan.read(spark, s, n).select("season", "date").collect()) for n in names] + [
+        plan.read(spark, s, "mart_match_features").agg({"attendance": "sum"}).first()[0],
+        plan.read(spark, s, "raw_matches").agg({"attendance": "max"}).first()[0],
+    ]
+    old = state()
+    changed = records(2024)
+    changed[0]["attendance"] = 99_999
+    save(league_files / "archive", 2024, changed)
+    write = plan.snapshot.write
+    with monkeypatch.context() as broken:
+        broken.setattr(plan.snapshot, "write", lambda df, root, name, *a, **k: 1 / 0 if name == "int_standings" else write(df, root, name, *a, **k))
+        with pytest.raises(ZeroDivisionError):
+            weekly(spark, s, AS_OF + dt.timedelta(days=1))
+    assert state() == old
+    weekly(spark, s, AS_OF + dt.timedelta(days=1), keep=1)
+    assert state()[-1] == "99999" and state()[4] > old[4]
+    assert len(list((league_files / "warehouse" / "mart_match_features").glob("version=*"))) == 1
+    log = {(r.run_id, r.stage): r for r in runlog.run_log(runlog.read_log(spark, s.path("run_log"))).collect() if r.status == "success"}
+    written = [json.loads(r.rows_written) for (_, name), r in log.items() if name == "transform"]
+    assert len(written) == 2 and all(w["mart_match_features"] == 112 and w["stg_matches"] == 112 for w in written)
+    assert all(json.loads(r.rows_written)["train"] == 89 for (_, name), r in log.items() if name == "train")

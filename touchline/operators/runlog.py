@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from touchline.functions.calendar import in_season
 from touchline.operators.ordered import prior_rows, with_chunk
+from touchline.operators.upsert import exists, listed, remove
 
 RUN_FIELDS = {
     "rows_read": "bigint", "rows_inserted": "bigint", "rows_updated": "bigint", "rows_unchanged": "bigint",
     "seasons": "string", "max_match_date": "date", "null_attendance_pct": "double",
-    "error_type": "string", "error_message": "string", "git_sha": "string",
+    "error_type": "string", "error_message": "string", "git_sha": "string", "rows_written": "string",
 }
 EVENT_SCHEMA = "run_id string, stage string, event_ts timestamp, status string, " + ", ".join(
     f"{n} {t}" for n, t in RUN_FIELDS.items()
@@ -25,7 +26,7 @@ def stage_event(
 ) -> DataFrame:
     """One event row: status "running" opens a stage, "success" or "failed" closes it."""
     values = [fields.get(n) for n in RUN_FIELDS]
-    return spark.createDataFrame([(run_id, stage, at, status, *values)], EVENT_SCHEMA)
+    return spark.createDataFrame([(run_id, stage, at, status, *values)], EVENT_SCHEMA).coalesce(1)
 
 
 def start_stage(spark: SparkSession, path: str, run_id: str, stage: str, at: dt.datetime) -> None:
@@ -41,6 +42,53 @@ def finish_stage(
     stage_event(spark, run_id, stage, status, at, **fields).write.mode("append").parquet(path)
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a log that is appended to in small files: the newest compaction and the files written since."""
+    return _log_of(spark, path, _appended(spark, path))
+
+
+def _log_of(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    version = max(_compactions(spark, path), default=None)
+    if version is None:
+        return spark.read.parquet(*[f"{path}/{n}" for n in names])
+    folder = f"{path}/_compacted/version={version:010d}"
+    rows = spark.read.parquet(f"{folder}/rows")
+    taken = {r.file for r in spark.read.parquet(f"{folder}/files").collect()}
+    new = [f"{path}/{n}" for n in names if n not in taken]
+    return rows.unionByName(spark.read.schema(rows.schema).parquet(*new)) if new else rows
+
+
+def compact_log(spark: SparkSession, path: str, files: int = 1, keep: int = 1) -> int:
+    """Rewrite a log into few files behind a marker; returns the compaction's number.
+
+    Appends may go on meanwhile: what a compaction took in is listed in it. Small files are removed once the
+    compaction that took them in is older than the newest ``keep``, so whoever began to read before still can.
+    """
+    version = 1 + max(_compactions(spark, path), default=0)
+    folder = f"{path}/_compacted/version={version:010d}"
+    names = _appended(spark, path)
+    _log_of(spark, path, names).coalesce(files).write.mode("overwrite").parquet(f"{folder}/rows")
+    # Files named here are in the rows; the list is written last and makes the compaction count.
+    spark.createDataFrame([(n,) for n in names], "file string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/files")
+    for old in _compactions(spark, path):
+        if old <= version - keep:
+            for r in spark.read.parquet(f"{path}/_compacted/version={old:010d}/files").collect():
+                remove(spark, f"{path}/{r.file}")
+        if old < version - keep:
+            remove(spark, f"{path}/_compacted/version={old:010d}")
+    return version
+
+
+def _appended(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in listed(spark, path) if n.endswith(".parquet")]
+
+
+def _compactions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(
+        int(n.rsplit("=", 1)[1]) for n in listed(spark, f"{path}/_compacted") if exists(spark, f"{path}/_compacted/{n}/files/_SUCCESS")
+    )
+
+
 def _seconds(column: str) -> Column:
     return F.col(column).cast("timestamp").cast("double")
 
@@ -85,6 +133,19 @@ def stage_metadata(matches: DataFrame) -> DataFrame:
     )
 
 
+def load_metrics() -> dict[str, Column]:
+    """What ``stage_metadata`` says of staged matches, as aggregates that a write can carry."""
+    return {
+        "seasons": F.to_json(F.array_sort(F.collect_set("season"))), "max_match_date": F.max("date"),
+        "null_attendance_pct": 100.0 * F.count_if(F.col("attendance").isNull()) / F.nullif(F.count(F.lit(1)), F.lit(0)),
+    }
+
+
+def counted(seen: dict) -> dict:
+    """Fields of a run-log row from what a write with ``load_metrics`` has counted."""
+    return {"rows_read": seen["rows"], **{n: seen[n] for n in ("seasons", "max_match_date", "null_attendance_pct")}}
+
+
 def check_flips(check_log: DataFrame) -> DataFrame:
     """Checks that failed after having passed the time before.
 
