@@ -1,4 +1,5 @@
 import hashlib
+import json
 from collections import Counter
 
 import numpy as np
@@ -11,7 +12,7 @@ from touchline.llm import alignment
 from touchline.llm.common import table
 
 DEFINITIONS = alignment.read_definitions(
-    public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN
 )
 
 
@@ -78,6 +79,21 @@ def test_against_token_walk(spark, pair, odd, monkeypatch):
     assert any(r[3] and r[1] != r[3] for r in expected) and any(r[1] == 0 for r in expected)
 
 
+def test_ranks_equal_the_definition(pair):
+    """Every kind of character in context, and runs of letters at random; a definition whose merges are not in order has no ranks."""
+    texts = [f" a{chr(c)}1{chr(c)}!{chr(c)} {chr(c)} {chr(c)}{chr(c)}" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    draw = np.random.default_rng(9)
+    texts += ["".join("etaoin shrdlu\n"[i] for i in draw.integers(0, 14, 60)) for _ in range(3000)]
+    texts += [chr(c) * n for c in (32, 101, 0x1F600) for n in (1, 77, 2000)]
+    found = [x.ids for x in pair.a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [pair.ranked.encode_ordinary(t) for t in texts] == found
+    definition = json.loads(DEFINITIONS[0])
+    definition["model"]["merges"][5:7] = definition["model"]["merges"][6:4:-1]
+    assert alignment.ranks_of(json.dumps(definition)) is None
+    plain = alignment.Pair((*DEFINITIONS[:2], None))
+    assert plain.encode(["a b  c é"]) == pair.encode(["a b  c é"])
+
+
 def test_large_groups(pair, monkeypatch):
     """Links that are not spelled out count as those that are."""
     draw = np.random.default_rng(5)

@@ -4,7 +4,8 @@ Two tokenizers cut the same bytes. Every token points to the token that reaches
 those it overlaps, itself included; doubling these pointers takes each token to the last token of its
 component, which labels its group. A group ends where tokens of both sides end.
 
-Documents travel in blocks of some megabytes of text. A block holds the distinct id pairs of its
+The byte-level side is encoded by merge ranks (tiktoken), twice as fast as its definition, where that is proven
+to give the same ids: see ``ranks_of``. Documents travel in blocks of a megabyte of text. A block holds the distinct id pairs of its
 documents and, packed, which documents hold which; so of the corpus-wide counts only as many rows
 are shuffled as blocks have distinct pairs, never a row per link, and no vocabulary of pairs is broadcast.
 """
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,10 +42,33 @@ DIGESTS = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigin
 TOKENS = "doc_id bigint, a array<int>, b array<int>, a_group array<int>, b_group array<int>"
 
 
-def read_definitions(a: str, b: str) -> tuple[str, bytes]:
-    """The byte-level definition at path ``a`` and the piece model at path ``b``, as tasks get them."""
+def read_definitions(a: str, b: str, pattern: str | None = None) -> tuple[str, bytes, str | None]:
+    """The byte-level definition at path ``a`` and the piece model at path ``b``, as tasks get them.
+
+    ``pattern`` is the byte-level split as a regular expression; without it, or if ranks don't do, the definition itself encodes.
+    """
     with open(a, encoding="utf-8") as first, open(b, "rb") as second:
-        return first.read(), second.read()
+        definition, model = first.read(), second.read()
+    return definition, model, pattern if pattern and ranks_of(definition) else None
+
+
+def ranks_of(definition: str) -> dict[bytes, int] | None:
+    """Ids by bytes, if merging the pair whose joined bytes have the smallest id is the same as following the definition's merges.
+
+    It is if ids ascend with merges and every entry, encoded alone, is one token. For a pair that is no merge
+    could only be joined where both halves stand inside the bytes of an entry, and these, whatever surrounds
+    them, have been merged as in the entry alone, which ends in the entry's own merge.
+    """
+    parsed = json.loads(definition)["model"]
+    vocabulary, merges = parsed["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parsed["merges"]]
+    joined = [vocabulary.get(a + b) for a, b in merges]
+    model = Tokenizer.from_str(definition).model
+    added = {token["content"] for token in json.loads(definition)["added_tokens"]}
+    plain = {entry: i for entry, i in vocabulary.items() if entry not in added}
+    if None in joined or joined != sorted(set(joined)) or any([t.id for t in model.tokenize(e)] != [i] for e, i in plain.items()):
+        return None
+    letters = _byte_of_letter()
+    return {bytes(map(letters.__getitem__, entry)): i for entry, i in plain.items()}
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -56,9 +81,13 @@ def _byte_of_letter() -> dict[str, int]:
 class Pair:
     """Both tokenizers, and the bytes that each of their ids stands for."""
 
-    def __init__(self, definitions: tuple[str, bytes]):
+    def __init__(self, definitions: tuple[str, bytes, str | None]):
         self.a = Tokenizer.from_str(definitions[0])
         self.a.encode_special_tokens = True
+        self.ranked = None
+        if definitions[2]:
+            ranks = ranks_of(definitions[0])
+            self.ranked = tiktoken.Encoding("ranks", pat_str=definitions[2], mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=definitions[1])
         letters = _byte_of_letter()
         entries = sorted((i, entry) for entry, i in json.loads(definitions[0])["model"]["vocab"].items())
@@ -77,7 +106,10 @@ class Pair:
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides of each text; none on both where the joined bytes of a side are not a space and the text."""
         spaced = [f" {text}" if text else "" for text in texts]
-        a = [found.ids for found in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        if self.ranked:
+            a = [self.ranked.encode_ordinary(text) for text in spaced]
+        else:
+            a = [found.ids for found in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         b = self.b.encode(texts, num_threads=1)
         for i, text in enumerate(spaced):
             whole = text.encode()
@@ -116,11 +148,6 @@ def pair_codes(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.nd
     upto = np.cumsum(links)
     keys, times = [], []
 
-    def add(found: np.ndarray, weight: np.ndarray | None = None) -> None:
-        key, at, n = np.unique(found, return_inverse=True, return_counts=True)
-        keys.append(key)
-        times.append(n if weight is None else np.bincount(at, weights=weight).astype(np.int64))
-
     low = 0
     while low < groups:
         base = upto[low] - links[low]
@@ -136,7 +163,9 @@ def pair_codes(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.nd
             group = np.repeat(np.arange(low, high), here)
             step = np.arange(len(group)) - np.repeat(np.cumsum(here) - here, here)
             first = a[a_at[group] + step // n_b[group]]
-            add(mark[group] << 32 | first << 16 | b[b_at[group] + step % n_b[group]])
+            key, n = np.unique(mark[group] << 32 | first << 16 | b[b_at[group] + step % n_b[group]], return_counts=True)
+            keys.append(key)
+            times.append(n)
         low = high
     if len(keys) < 2:
         return (keys[0], times[0]) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -219,7 +248,7 @@ def _written(pair: Pair, a, b, a_group, b_group, size_a, size_b, n_groups) -> li
     return found
 
 
-def _blocks(docs: DataFrame, definitions: tuple[str, bytes]) -> DataFrame:
+def _blocks(docs: DataFrame, definitions: tuple[str, bytes, str | None]) -> DataFrame:
     """All documents in blocks of BLOCK bytes of text. Stored, so numbers of blocks are fixed."""
     small_batches(docs.sparkSession)
     given = docs.sparkSession.sparkContext.broadcast(definitions)  # two vocabularies
@@ -260,14 +289,14 @@ def _counts(blocks: DataFrame) -> DataFrame:
     )
 
 
-def pair_counts(docs: DataFrame, definitions: tuple[str, bytes]) -> DataFrame:
+def pair_counts(docs: DataFrame, definitions: tuple[str, bytes, str | None]) -> DataFrame:
     """``a``, ``b``, ``count``, ``best``: how many documents hold this pair of ids linked, and whether no pair of ``a`` has more."""
     return _counts(_blocks(docs, definitions)).select(
         F.shiftright("code", 16).cast("int").alias("a"), F.col("code").bitwiseAND(0xFFFF).cast("int").alias("b"), "count", "best"
     )
 
 
-def digests(docs: DataFrame, definitions: tuple[str, bytes]) -> DataFrame:
+def digests(docs: DataFrame, definitions: tuple[str, bytes, str | None]) -> DataFrame:
     """``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum``, ``groups_sha256`` of every row of ``docs``.
 
     A text that is null, empty, or not rebuilt by the bytes of both sides' tokens has zeros and an
@@ -311,7 +340,7 @@ def _ints(value: pa.Scalar) -> np.ndarray:
     return value.values.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def aligned(docs: DataFrame, definitions: tuple[str, bytes]) -> DataFrame:
+def aligned(docs: DataFrame, definitions: tuple[str, bytes, str | None]) -> DataFrame:
     """``doc_id``, ids of both sides in order (``a``, ``b``), and the group of each id, from 0 (``a_group``, ``b_group``).
 
     Odd rows are treated as in ``digests``: a text without tokens has empty lists. No shuffle.
