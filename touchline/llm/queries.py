@@ -149,5 +149,5 @@ def op12_conversations(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
-    definitions = alignment.read_definitions(public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
+    definitions = alignment.read_definitions(public_tokenizers.path(BYTES), public_tokenizers.path(PIECES), public_tokenizers.PATTERN)
     return alignment.digests(table(spark, sf, "documents"), definitions)
