@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -71,6 +72,76 @@ def test_rare_features_never_count():
     assert 77 not in at and (w != 0).all()
 
 
+def test_weights_against_plain_rows():
+    """FTRL-proximal written out for one coordinate at a time."""
+    draw = np.random.default_rng(11)
+    rows = [np.unique(draw.integers(0, 40, draw.integers(0, 15))).astype(np.int32) for _ in range(150)]
+    labels = [int(7 in at or draw.random() < 0.1) for at in rows]
+    z, n = {}, {}
+
+    def weight(k):
+        if abs(z.get(k, 0.0)) <= toxicity.L1:
+            return 0.0
+        sign = 1 if z[k] > 0 else -1
+        return -(z[k] - sign * toxicity.L1) / ((toxicity.BETA + n[k] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    rate = (sum(labels) + 0.5) / (len(labels) + 1)
+    bias, bias_n = math.log(rate / (1 - rate)), 0.0
+    for _ in range(toxicity.EPOCHS):
+        for at, label in zip(rows, labels):
+            held = {k: weight(k) for k in at.tolist()}
+            g = 1 / (1 + math.exp(-(bias + sum(held.values())))) - label
+            for k, w in held.items():
+                before = n.get(k, 0.0)
+                z[k] = z.get(k, 0.0) + g - ((before + g * g) ** 0.5 - before ** 0.5) / toxicity.ALPHA * w
+                n[k] = before + g * g
+            bias_n += g * g
+            bias -= 0.1 * g / (1 + bias_n ** 0.5)
+    expected = {k: weight(k) for k in z if weight(k)}
+    at, w, found = toxicity.fit(rows, labels)
+    assert expected and dict(zip(at.tolist(), w.tolist())) == pytest.approx(expected) and found == pytest.approx(bias)
+
+
+def test_gradient_of_the_machine():
+    """One step moves the inputs of a text against the slope of its loss, as differences show it."""
+    draw = np.random.default_rng(12)
+    machine = quality.Machine(0.1, draw.normal(size=quality.INPUTS) * 0.1, draw.normal(size=(quality.INPUTS, quality.FACTORS)) * 0.1)
+    at, x = np.array([5, 60, 700]), np.array([0.5, 1.0, 0.3])
+
+    def loss():
+        score, _ = machine.sums(at, x, np.array([0]))
+        return math.log(1 + math.exp(-score[0]))
+
+    score, total = machine.sums(at, x, np.array([0]))
+    g = 1 / (1 + math.exp(-score[0])) - 1
+    for k in range(3):
+        dw, dv = g * x[k], g * x[k] * (total[0, 2] - machine.v[at[k], 2] * x[k])
+        for table, where, slope in ((machine.w, at[k], dw), (machine.v, (at[k], 2), dv)):
+            kept, step = table[where], 1e-6
+            table[where] = kept + step
+            up = loss()
+            table[where] = kept - step
+            down = loss()
+            table[where] = kept
+            assert (up - down) / (2 * step) == pytest.approx(slope, rel=1e-4)
+
+
+def test_nothing_is_rejected_unseen(spark, corpus):
+    """Without a label for any of its documents a corpus stays whole."""
+    docs, labels, _ = corpus
+    for none in (labels.limit(0), labels.withColumn("doc_id", F.col("doc_id") + 10_000)):
+        model, machine = toxicity.train(docs, none, F.lit(True)), quality.train(docs, none, F.lit(True))
+        assert len(model["at"]) == 0
+        assert toxicity.keep_clean(docs, model).count() == quality.keep_good(docs, machine).count() == docs.count()
+
+
+def test_labels_of_other_documents_take_no_room(spark, corpus):
+    docs, labels, _ = corpus
+    others = spark.range(10_000, 15_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    rows = labelled_sample(docs, others.unionByName(labels.filter("doc_id < 200")), "toxic", F.lit(True), 500).collect()
+    assert {r.doc_id for r in rows} == set(range(200))
+
+
 def test_sample_is_bounded_and_keeps_held_out_rows_out(corpus):
     docs, labels, _ = corpus
     rows = labelled_sample(docs, labels, "toxic", ~held_out(F.col("doc_id"), 5, 0), 100).collect()

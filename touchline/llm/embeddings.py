@@ -126,9 +126,8 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row of ``rows`` (vec_id, embedding).
 
-    Vectors that are null, empty or zero, or hold null or non-finite components, or whose length
-    can't be squared in double precision, link with nothing; vectors of different dimensions
-    don't link. Equal vectors are one point with a number of copies, so a group of copies costs
+    Vectors that are null, empty or zero, or hold null or non-finite components link with nothing;
+    vectors of different dimensions don't link. Lengths of any size are fine. Equal vectors are one point with a number of copies, so a group of copies costs
     no more than one vector. Repeated rows count as other vectors. Null ids count as links but
     name no component: a component of null ids only has a null component_id. An empty table
     gives an empty one; other columns, labels included, are ignored.
@@ -136,13 +135,23 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     kind = "float" if rows.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
     read = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("v"))
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    whole = ~F.exists("v", lambda x: x.isNull() | F.isnan(x))
-    fit = F.coalesce(whole & (norm > 1e-280) & (norm < 1e280), F.lit(False))
+    whole = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    fit = F.coalesce(whole & (largest > 0), F.lit(False))
+    if kind == "double":
+        # Squares that double precision can't hold: such a vector is multiplied by a power of two, in two
+        # steps as it may be too large for one. That is exact and leaves every cosine as it is.
+        power = -F.floor(F.log2(largest))
+        half = F.floor(power / 2)
+        scaled = F.transform("v", lambda x: x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half))
+        extreme = fit & ~norm.between(1e-280, 1e280)
+        read = read.withColumn("v", F.when(extreme, scaled).otherwise(F.col("v"))).withColumn("fit", fit)
+        fit = F.col("fit")
     # -0.0 and 0.0 are equal numbers, so they must make equal keys.
     plain = F.when(fit, F.transform("v", lambda x: x + F.lit(0.0).cast(kind)))
     digest = F.struct(F.xxhash64("v").alias("x"), F.xxhash64(F.lit(1), "v").alias("y"))
     keyed = stage(
-        read.withColumn("v", plain).withColumn("key", F.when(F.col("v").isNotNull(), digest)), "vectors"
+        read.withColumn("v", plain).select("vec_id", "v").withColumn("key", F.when(F.col("v").isNotNull(), digest)), "vectors"
     )
     good = keyed.filter("key is not null")
     points = good.groupBy("key").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first("v").alias("v"))

@@ -162,7 +162,11 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, machine: Machine) -> DataFrame:
-    """Rows of ``docs`` that the machine does not reject, with all their columns."""
+    """Rows of ``docs`` that the machine does not reject, with all their columns.
+
+    Null and empty texts are judged by what is known of texts without words; repeated rows and null ids are kept or left
+    like others; an empty table gives an empty one, and a machine without labelled rows keeps every row.
+    """
     name = "_quality"
     while name in docs.columns:
         name += "_"

@@ -8,6 +8,7 @@ model is a short list of (feature, weight), which is what is broadcast.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,8 @@ from touchline.llm.common import small_batches
 from touchline.llm.words import Hasher, labelled_sample
 
 BITS = 20
+#: The rate of toxic texts where there is no labelled row to learn it from. Below one half, so that nothing is rejected unseen.
+UNSEEN = 0.05
 #: Labelled rows that are learned from, at most.
 ROWS = 16_000
 EPOCHS = 3
@@ -67,7 +70,10 @@ def fit(rows: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.ndarr
 
 
 def train(docs: DataFrame, labels: DataFrame, keep: Column, rows: int = ROWS) -> dict:
-    """The model of at most ``rows`` labelled rows: one task streams through them, its result is the weights."""
+    """The model of at most ``rows`` labelled rows: one task streams through them, its result is the weights.
+
+    Without a labelled row there are no weights, and the intercept says ``UNSEEN``.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,16 +81,16 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, rows: int = ROWS) ->
         for batch in batches:
             rows += [np.unique(features(hasher(t.split()))).astype(np.int32) for t in batch.column("text").to_pylist()]
             marks += batch.column("label").to_pylist()
-        at, w, bias = fit(rows, marks) if rows else ([], [], 0.0)
+        if not rows:
+            return
+        at, w, bias = fit(rows, marks)
         yield pa.RecordBatch.from_arrays([pa.array([*at, -1], pa.int64()), pa.array([*w, bias], pa.float64())], names=["at", "w"])
 
     sample = labelled_sample(docs, labels, "toxic", keep, rows).select("text", "label")
     found = sample.coalesce(1).mapInArrow(run, "at bigint, w double").toPandas()
-    found = found[found["w"] != 0] if len(found) else found
-    return {
-        "at": found["at"].to_numpy()[found["at"].to_numpy() >= 0], "w": found["w"].to_numpy()[found["at"].to_numpy() >= 0],
-        "bias": float(found["w"][found["at"] == -1].sum()),
-    }
+    at, w = found["at"].to_numpy(), found["w"].to_numpy()
+    unseen = math.log(UNSEEN / (1 - UNSEEN))
+    return {"at": at[at >= 0], "w": w[at >= 0], "bias": float(w[at == -1].sum()) if len(at) else unseen}
 
 
 class Scorer:
@@ -112,7 +118,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: dict) -> DataFrame:
-    """Rows of ``docs`` that the model does not call toxic, with all their columns."""
+    """Rows of ``docs`` that the model does not call toxic, with all their columns.
+
+    Null and empty texts are judged by the intercept; repeated rows and null ids are kept or left like others; an
+    empty table gives an empty one, and a model without labelled rows keeps every row.
+    """
     name = "_toxicity"
     while name in docs.columns:
         name += "_"

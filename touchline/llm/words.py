@@ -38,13 +38,15 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, rows: int) -> DataFrame:
     """At most ``rows`` labelled rows of ``docs`` for which ``keep`` (of ``doc_id``) holds, as ``order``, ``text``, ``label``.
 
-    Rows are picked by a hash of the id. The ids picked, ``rows`` at most, are the only thing
-    that is broadcast. An id that is labelled twice counts with its larger label; null labels don't.
+    Rows are picked by a hash of the id among those that ``docs`` has, so labels of other documents take no room.
+    Ids are compared by themselves; the ids picked, ``rows`` at most, are the only thing that is broadcast. An id that is
+    labelled twice counts with its larger label; null labels don't.
     """
     clean = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
     clean = clean.filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
     order = F.xxhash64("doc_id", F.lit(7))
-    picked = clean.filter(keep).withColumn("order", order).orderBy("order", "doc_id").limit(rows)
+    picked = clean.filter(keep).join(ids, "doc_id", "left_semi").withColumn("order", order).orderBy("order", "doc_id").limit(rows)
     narrow = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         (F.col("n_chars") if "n_chars" in docs.columns else F.lit(None)).cast("bigint").alias("n_chars"),
