@@ -129,6 +129,25 @@ def op9_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf, "embeddings"))
 
 
+ORACLE["op9_embeddings"] = """
+WITH RECURSIVE vector AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), usable AS (
+  SELECT vec_id, e FROM vector WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM vector UNION SELECT r.vec_id, l.b FROM reached r JOIN link l ON l.a = r.other
+), least AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT v.vec_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM vector v JOIN least USING (vec_id) LEFT JOIN (SELECT a, COUNT(*) AS n FROM link GROUP BY a) ON a = v.vec_id
+"""
+
+
 @_query
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     with open(public_tokenizers.path(RANKS), "rb") as file:
