@@ -44,19 +44,37 @@ def _families() -> Column:
     return F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*r).alias("rules")) for k, r in found.items()])
 
 
+def _tried(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``key``, ``n_words`` and ``each`` (rule, tier, and for each match the spaces before and in it) of every row. Stored.
+
+    The one pass over texts. A text's pieces between matches and the matches come from the same pattern, so
+    a match starts where the words before it end.
+    """
+    words = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), row_key(docs).alias("key"), plain(F.col("text")).alias("words")
+    )
+    tried = F.flatten(F.transform(F.filter(_families(), lambda f: F.contains("words", f["keyword"])), lambda f: f["rules"]))
+
+    def parts(pattern: Column) -> Column:
+        matches, pieces = F.regexp_extract_all("words", pattern, F.lit(0)), F.split("words", pattern, -1)
+        return F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(_spaces(p).alias("gap"), _spaces(m).alias("inner")))
+
+    each = F.transform(tried, lambda r: F.struct(r["rule"].alias("rule"), r["tier"].alias("tier"), parts(r["pattern"]).alias("parts")))
+    n_words = F.when(F.col("words") == "", 0).otherwise(_spaces(F.col("words")) + 1).cast("bigint")
+    return stage(words.select("doc_id", "key", n_words.alias("n_words"), F.filter(each, lambda x: F.size(x["parts"]) > 0).alias("each")), "licence-words")
+
+
 def detections(docs: DataFrame) -> DataFrame:
     """``key``, ``rule``, ``tier``, ``start``, ``end`` (words, end exclusive), ``kept`` of every match of every rule in ``docs``. Stored.
 
-    A text's pieces between matches and the matches come from the same pattern, so a match starts
-    where the words before it end. Rows with one id and text are one.
+    Rows with one id and text are one.
     """
-    words = docs.select(row_key(docs).alias("key"), plain(F.col("text")).alias("words"))
-    tried = F.flatten(F.transform(F.filter(_families(), lambda f: F.contains("words", f["keyword"])), lambda f: f["rules"]))
-    each = words.select("key", "words", F.explode(tried).alias("r"))
-    pattern = F.col("r")["pattern"]
-    matches, pieces = F.regexp_extract_all("words", pattern, F.lit(0)), F.split("words", pattern, -1)
-    parts = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(_spaces(p).alias("gap"), _spaces(m).alias("inner")))
-    hits = each.select("key", F.col("r")["rule"].alias("rule"), F.col("r")["tier"].alias("tier"), F.posexplode(parts).alias("pos", "part"))
+    return _placed(_tried(docs))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    each = rows.select("key", F.explode("each").alias("r"))
+    hits = each.select("key", F.col("r")["rule"].alias("rule"), F.col("r")["tier"].alias("tier"), F.posexplode(F.col("r")["parts"]).alias("pos", "part"))
     hits = hits.select("key", "rule", "tier", "pos", "part.*").repartition("key").dropDuplicates(["key", "rule", "pos"])
     # Windows over the detections of one text, which is read as a whole anyway.
     line = Window.partitionBy("key", "rule").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
@@ -87,17 +105,13 @@ def scan(docs: DataFrame) -> DataFrame:
     one = F.struct(
         "rule", F.element_at(_labels(), F.col("rule") + 1).alias("label"), F.element_at(tiers, F.col("tier") + 1).alias("tier"), "start", "end"
     )
-    told = detections(docs).groupBy("key").agg(
+    rows = _tried(docs)
+    told = _placed(rows).groupBy("key").agg(
         F.sort_array(F.collect_list(F.when(F.col("tier") == 0, one))).alias("base"),
         F.sort_array(F.collect_list(F.when(F.col("kept"), one))).alias("found"),
     )
-    words = plain(F.col("text"))
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), row_key(docs).alias("key"),
-        F.when(words == "", 0).otherwise(_spaces(words) + 1).cast("bigint").alias("n_words"),
-    )
     none = F.array().cast(DETECTION)
-    return rows.join(told, "key", "left").select(
+    return rows.drop("each").join(told, "key", "left").select(
         "doc_id", "key", "n_words", F.coalesce("base", none).alias("base"), F.coalesce("found", none).alias("found")
     )
 
