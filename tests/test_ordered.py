@@ -9,6 +9,7 @@ import pytest
 from conftest import day
 from pyspark.sql import functions as F
 
+from touchline.operators import ordered
 from touchline.operators.features import lags
 from touchline.operators.learn import with_split
 from touchline.operators.ordered import asof_last, numbered, order_statistics, tally_scores, with_chunk
@@ -139,3 +140,26 @@ def test_split_is_exact_and_chronological(spark, n, per_day):
     test = [r for r in marked if r.part == "test"]
     assert (len(train), len(test)) == (int(n * 0.8), n - int(n * 0.8))
     assert max((r.date, r.match_id) for r in train) < min((r.date, r.match_id) for r in test)
+
+
+def test_rows_are_exchanged_once(spark):
+    """Windows and the join of carried values share one partitioning, nulls in keys included."""
+    rows = spark.createDataFrame([(None if k % 5 == 0 else f"c{k % 3}", k, k) for k in range(40)], "club string, at int, gate int")
+    with_parts = ordered.with_chunk(rows, ["club"], "at", rows_per_task=7)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = ordered.prior_rows(with_parts, ["club"], ["chunk"], ["at"], F.struct("gate"), 3)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # One for the rows, one for the table of chunk ends.
+        assert plan.count("Exchange hashpartitioning") == 2
+        got = {r["at"]: [p.gate for p in r.prior] for r in found.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    by_club = {}
+    for k in range(40):
+        group = by_club.setdefault(None if k % 5 == 0 else k % 3, [])
+        assert got[k] == group[-3:]
+        group.append(k)

@@ -56,14 +56,16 @@ def prior_rows(
     """
     skip = F.lit(False) if skip is None else skip
     keys = [*by, *cuts]
-    inside = Window.partitionBy(*keys).orderBy(*order)
+    # One key of plain equality, in which nulls are equal: the rows are exchanged once, for the windows and the join.
+    df = df.withColumn("_key", F.struct(*keys))
+    inside = Window.partitionBy("_key").orderBy(*order)
     # History as it stands after each chunk. Its last row has no successor.
     ends = (
-        df.select(*keys, *[c for c in order if c not in keys], value.alias("_v"), skip.alias("_skip"))
+        df.select("_key", *keys, *[c for c in order if c not in keys], value.alias("_v"), skip.alias("_skip"))
         .withColumn("_end", F.collect_list("_v").over(inside.rowsBetween(1 - depth, 0)))
         .withColumn("_more", F.lead(F.lit(1)).over(inside))
         .filter("_more is null")
-        .select(*keys, "_skip", "_end")
+        .select("_key", *keys, "_skip", "_end")
     )
     counted = Window.partitionBy(*by, "_skip").orderBy(*cuts)
     chain = Window.partitionBy(*by).orderBy(*cuts)
@@ -72,14 +74,14 @@ def prior_rows(
     carried = (
         ends.withColumn("_after", after)
         .select(
-            *keys,
+            "_key",
             F.last("_after", ignorenulls=True).over(chain.rowsBetween(UNBOUNDED, -1)).alias("_carried"),
         )
     )
     near = F.collect_list(F.when(~skip, value)).over(inside.rowsBetween(-depth, -1))
-    joined = join_null_safe(df.withColumn("_near", near), stage(carried, "chunk-ends"), keys)
+    joined = df.withColumn("_near", near).join(stage(carried, "chunk-ends"), "_key", "left")
     history = F.concat(F.coalesce("_carried", F.array().cast(joined.schema["_near"].dataType)), "_near")
-    return joined.withColumn(name, _last(history, depth)).drop("_near", "_carried")
+    return joined.withColumn(name, _last(history, depth)).drop("_near", "_carried", "_key")
 
 
 def _last(items: Column, n: int) -> Column:
@@ -96,11 +98,13 @@ def numbered(
     starts = chunked.groupBy(*keys).agg(F.count("*").alias("_n")).select(
         *keys, F.coalesce(before, F.lit(0)).alias("_start")
     )
-    within = F.row_number().over(Window.partitionBy(*keys).orderBy(id_col))
+    key = F.struct(*keys)
+    within = F.row_number().over(Window.partitionBy("_key").orderBy(id_col))
+    starts = stage(starts.select(key.alias("_key"), "_start"), "chunk-starts")
     return (
-        join_null_safe(chunked.withColumn("_row", within), stage(starts, "chunk-starts"), keys)
+        chunked.withColumn("_key", key).withColumn("_row", within).join(starts, "_key", "left")
         .withColumn(name, F.col("_start") + F.col("_row"))
-        .drop("_start", "_row", "chunk")
+        .drop("_start", "_row", "_key", "chunk")
     )
 
 
