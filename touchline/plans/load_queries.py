@@ -60,11 +60,18 @@ def malformed_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(sql("""
 SELECT 'league-matches' AS endpoint, string_agg(DISTINCT CAST(year(day) - 370 AS VARCHAR), ','
-  ORDER BY CAST(year(day) - 370 AS VARCHAR)) AS season_ids, true AS has_bytes FROM payload"""))
+  ORDER BY CAST(year(day) - 370 AS VARCHAR)) AS season_ids, COUNT(DISTINCT year(day)) <= COUNT(*) AS files_for_all,
+  true AS whole_bytes, true AS oldest_first FROM payload"""))
 def archive_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return archive.archive_summary(spark, archived(spark, sf)).select(
+    """Files, bytes and ages depend on the writer; they are held against a read of all contents."""
+    path = archived(spark, sf)
+    contents = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(
+        F.count("*").alias("n"), F.sum(F.length("content")).alias("size")
+    )
+    return archive.archive_summary(spark, path).join(F.broadcast(contents), F.lit(True)).select(
         "endpoint", F.array_join("season_ids", ",").alias("season_ids"),
-        ((F.col("bytes") > 0) & (F.col("files") > 0) & (F.col("oldest") <= F.col("newest"))).alias("has_bytes"),
+        ((F.col("files") == F.col("n")) & (F.col("files") >= F.size("season_ids"))).alias("files_for_all"),
+        (F.col("bytes") == F.col("size")).alias("whole_bytes"), (F.col("oldest") <= F.col("newest")).alias("oldest_first"),
     )
 
 
@@ -76,13 +83,32 @@ def archive_missing(spark: SparkSession, sf: str) -> DataFrame:
     return archive.archive_missing(b.seasons(spark, sf), records)
 
 
-@query(sql("SELECT raw_name, club_id, note FROM club_aliases"))
+@query(sql("""
+SELECT 'club_aliases' AS file, raw_name AS a, club_id AS b, note AS c FROM club_aliases
+UNION ALL SELECT 'club_conference', club_id, CAST(season AS VARCHAR), conference FROM club_conference
+UNION ALL SELECT 'derbies', club_id_a, club_id_b, NULL FROM derbies
+UNION ALL SELECT 'seasons', CAST(s AS VARCHAR), CAST(s - 370 AS VARCHAR), NULL FROM range(1995, 2003) t(s)
+UNION ALL SELECT 'stadiums', club_id, stadium, CAST(valid_from AS VARCHAR) FROM stadiums"""))
 def read_reference(spark: SparkSession, sf: str) -> DataFrame:
+    """All five hand-kept files, written with stray blanks around their first keys, through one reader."""
     path = scratch_path(spark, "reference")
-    spaced = F.concat(F.lit(" "), "raw_name", F.lit("  "))
-    b.aliases(spark, sf).withColumn("raw_name", spaced).write.option("header", True).option(
-        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/club_aliases.csv")
-    return tables.read_reference_table(spark, path, "club_aliases")
+    made = {
+        "club_aliases": b.aliases, "club_conference": b.club_conference, "derbies": b.derbies, "seasons": b.seasons, "stadiums": b.stadiums,
+    }
+    for name, make in made.items():
+        rows = make(spark, sf)
+        rows = rows.select(*[(F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string")).alias(c) for c in tables.REFERENCE[name]])
+        first = rows.columns[0]
+        rows.withColumn(first, F.concat(F.lit(" "), first, F.lit("  "))).write.option("header", True).option(
+            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/{name}.csv")
+    third = {"club_aliases": "note", "club_conference": "conference", "stadiums": "valid_from"}
+    shown = None
+    for name, rows in tables.read_reference(spark, path).items():
+        keys = [F.col(c) for c in tables.REFERENCE[name][:2]]
+        last = F.col(third[name]) if name in third else F.lit(None).cast("string")
+        part = rows.select(F.lit(name).alias("file"), keys[0].alias("a"), keys[1].alias("b"), last.alias("c"))
+        shown = part if shown is None else shown.unionByName(part)
+    return shown
 
 
 @query(sql("""
@@ -231,9 +257,13 @@ def feature_catalog(spark: SparkSession, sf: str) -> DataFrame:
 @query(sql("""
 SELECT match_id, date, home_club_id, attendance, day_of_week, month, is_weekend, is_midweek, last_home_gate,
   home_gate_ma3, home_gate_ma5, same_fixture_last_season, opponent_club_id, is_derby, matches_remaining,
-  is_season_opener, is_final_home_match FROM mart"""))
+  is_season_opener, is_final_home_match, matches_since_elimination, rank_before, opponent_rank_before, rank_gap,
+  points_from_playoff_line, is_mathematically_live, points_from_relegation_line, true AS baseline_inside FROM mart"""))
 def select_features(spark: SparkSession, sf: str) -> DataFrame:
-    return learn.select_features(b.mart(spark, sf), "baseline")
+    """The larger model's columns, and whether the smaller one's are among them and nothing else is."""
+    small, large = (learn.select_features(b.mart(spark, sf), m) for m in ("baseline", "prorel"))
+    more = [c for c in large.columns if c not in small.columns]
+    return large.withColumn("baseline_inside", F.lit(set(small.columns) < set(large.columns) and len(more) == 7))
 
 
 # --- joins -----------------------------------------------------------------------------------

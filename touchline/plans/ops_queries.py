@@ -383,13 +383,15 @@ def drifted_records(spark: SparkSession, sf: str) -> DataFrame:
 @query(sql("""
 SELECT 'one_row_per_match' AS name, COUNT(*) = COUNT(DISTINCT match_id) AS passed FROM stg_matches
 UNION ALL SELECT 'row_count_preserved', COUNT(*) = (SELECT COUNT(*) FROM raw_matches) FROM stg_matches
+UNION ALL SELECT 'matches_are_fresh', date_diff('day', MAX(date), DATE '2001-06-05') <= 10 FROM stg_matches WHERE home_goals IS NOT NULL
+UNION ALL SELECT 'all_clubs_mapped', COUNT(*) = 0 FROM stg_matches WHERE home_club_id IS NULL OR away_club_id IS NULL
 UNION ALL SELECT 'one_match_per_club_per_date', COUNT(*) = 0
   FROM (SELECT season, club_id, date FROM sides GROUP BY ALL HAVING COUNT(*) > 1)"""))
 def run_tier(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.stg(spark, sf)
     return checks.run_tier([
-        checks.one_row_per_match(rows), checks.row_count_preserved(b.raw_matches(spark, sf), rows),
-        checks.one_match_per_club_per_date(rows),
+        checks.matches_are_fresh(rows, AS_OF), checks.all_clubs_mapped(rows),
+        checks.row_count_preserved(b.raw_matches(spark, sf), rows), checks.one_row_per_match(rows), checks.one_match_per_club_per_date(rows),
     ]).select("name", "passed")
 
 

@@ -26,20 +26,25 @@ def duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return checks.duplicates(checks.club_dates(b.stg(spark, sf)), ["season", "club_id", "date"])
 
 
-@query(sql("""
-SELECT COUNT(*) AS n, COUNT(*) - COUNT(home_goals) AS home_goals, COUNT(*) - COUNT(attendance) AS attendance,
-  COUNT(*) - COUNT(home_club_id) AS home_club_id FROM stg_matches"""))
+#: Columns of staged matches, and of the provider's records.
+STAGED = (
+    "match_id", "season", "date", "home_club_id", "away_club_id", "home_raw", "away_raw", "home_goals", "away_goals", "attendance",
+    "is_covid_affected", "day_of_week", "month", "is_weekend", "is_midweek",
+)
+FIELDS = ("id", "season", "date_unix", "homeID", "awayID", "stadium_name", "homeGoalCount", "awayGoalCount", "attendance")
+
+
+@query(sql("SELECT COUNT(*) AS n, " + ", ".join(f"COUNT(*) - COUNT({c}) AS {c}" for c in STAGED) + " FROM stg_matches"))
 def null_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.null_counts(b.stg(spark, sf), ["home_goals", "attendance", "home_club_id"])
+    return checks.null_counts(b.stg(spark, sf), list(STAGED))
 
 
-@query(sql("""
-SELECT field, COUNT(*) FILTER (v IS NOT NULL AND v NOT IN ('', '-1')) AS present, COUNT(*) AS total
-FROM (SELECT 'attendance' AS field, attendance AS v FROM payload UNION ALL
-  SELECT 'stadium_name', stadium_name FROM payload UNION ALL
-  SELECT 'homeGoalCount', CAST("homeGoalCount" AS VARCHAR) FROM payload) GROUP BY field"""))
+@query(sql("SELECT field, COUNT(*) FILTER (v IS NOT NULL AND v NOT IN ('', '-1')) AS present, COUNT(*) AS total FROM ("
+           + " UNION ALL ".join(f"""SELECT '{c}' AS field, CAST("{c}" AS VARCHAR) AS v FROM payload""" for c in FIELDS)
+           + """ UNION ALL SELECT 'home_name', n_name FROM payload JOIN nation ON n_nationkey = "homeID"
+  UNION ALL SELECT 'away_name', n_name FROM payload JOIN nation ON n_nationkey = "awayID") GROUP BY field"""))
 def null_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.null_coverage(b.payload(spark, sf), ["attendance", "stadium_name", "homeGoalCount"])
+    return reports.null_coverage(b.payload(spark, sf), [*FIELDS, "home_name", "away_name"])
 
 
 @query(sql("""
