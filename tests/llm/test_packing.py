@@ -1,3 +1,5 @@
+import json
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -25,6 +27,37 @@ def test_words_against_the_tokenizer(reference):
     assert [f.tolist() for f in found] == [e.ids + [2] for e in reference.encode_batch(odd, add_special_tokens=False)]
 
 
+def test_plain_words_by_ranks(reference):
+    """Random words of letters, digits and signs, and every entry of the vocabulary as a word."""
+    draw = random.Random(2)
+    letters = "etaoinshrdluETéßÀÿ0123456789'.,-_!#<>|"
+    words = ["".join(draw.choice(letters) for _ in range(draw.randint(1, 14))) for _ in range(20000)]
+    words += [e.removesuffix("</w>") for e in reference.get_vocab() if e.isascii()] + ["don't", "'s", "x's'll", "<|", "a" * 3000]
+    words = list(dict.fromkeys(w for w in words if w))
+    made = packing.Words(DEFINITION)
+    assert made.ranked
+    made._learn(words)
+    expected = [e.ids for e in reference.encode_batch_fast(words, add_special_tokens=False)]
+    assert [made.ids[made.starts[k]: made.starts[k] + made.sizes[k]].tolist() for k in map(made.number.__getitem__, words)] == expected
+
+
+def test_ranks_follow_the_merges():
+    """Each entry, merged by the list alone, ends in its own merge; so no pair outside the list is ever joined."""
+    model = json.loads(DEFINITION)["model"]
+    rank = {tuple(m.split(" ")) if isinstance(m, str) else tuple(m): n for n, m in enumerate(model["merges"])}
+    for a, b in rank:
+        entry = a + b
+        last = entry.endswith("</w>")
+        parts = list(entry.removesuffix("</w>"))
+        parts[-1] += "</w>" * last
+        while len(parts) > 1:
+            n, i = min((rank.get(pair, 10 ** 9), i) for i, pair in enumerate(zip(parts, parts[1:])))
+            assert n < 10 ** 9
+            if len(parts) == 2:
+                assert (parts[0], parts[1]) == (a, b)
+            parts[i: i + 2] = [parts[i] + parts[i + 1]]
+
+
 def test_patterns_fit_and_use_no_item_twice():
     draw = np.random.default_rng(1)
     counts = dict(Counter(draw.integers(1, 65, 5000).tolist()))

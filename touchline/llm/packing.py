@@ -13,6 +13,7 @@ stretch at powers of two, so they need no padding.
 from __future__ import annotations
 
 import itertools
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -33,14 +35,18 @@ END = 2
 #: The program stops within this share of the optimum: a price of 1 + GAP proves it.
 GAP = 1e-2
 #: Distinct words that a task remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Characters that Arrow or Python count as white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f\u180e\u200b\u2060\ufeff]")
 #: Words of these characters alone need no normalisation but lower case of single letters.
 LETTERS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 PLAIN = re.compile(f"[!-~{LETTERS}]+")
 #: The tokenizer's own split, for such words in lower case.
-SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
+SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9\n]+")
+#: Stands behind each piece of a plain word where its merges are looked up as ranks; no plain word has it.
+MARK = "\u07ff"
+#: What the vocabulary writes behind the last letter of a piece.
+SUFFIX = "</w>"
 
 
 # --- tokens
@@ -53,32 +59,67 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in prints else next(spare)) for b in range(256)}
 
 
+def ranks_of(definition: str) -> tuple[dict[bytes, int], list[int]] | None:
+    """Ranks of entries by their bytes, MARK for a piece's end, and the id of each rank; None for another kind of vocabulary.
+
+    Its merges, in order, make an entry each. The mark's own two bytes and a last letter with its mark come together before any merge.
+    """
+    model, letters = json.loads(definition)["model"], _byte_letters()
+    vocabulary, byte = model["vocab"], {letter: b for b, letter in letters.items()}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    singles = [letters[b] for b in range(256)]
+    needed = {*singles, *[x + SUFFIX for x in singles], *[a + b for a, b in merges]}
+    if model.get("end_of_word_suffix") != SUFFIX or not needed <= set(vocabulary):
+        return None
+    mark = MARK.encode()
+
+    def raw(entry: str) -> bytes:
+        last = entry.endswith(SUFFIX)
+        return bytes(byte[c] for c in (entry[: -len(SUFFIX)] if last else entry)) + mark * last
+
+    order = [raw(x) for x in singles] + [mark] + [raw(x + SUFFIX) for x in singles] + [raw(a + b) for a, b in merges]
+    ids = [vocabulary[x] for x in singles] + [-1] + [vocabulary[x + SUFFIX] for x in singles] + [vocabulary[a + b] for a, b in merges]
+    ranks = {entry: n for n, entry in enumerate(order)}
+    return (ranks, ids) if len(ranks) == len(order) else None
+
+
 class Words:
     """Ids of whole texts. White space separates tokens, so each distinct word is encoded once."""
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
+        self.ranked = None
+        found = ranks_of(definition)
+        if found:
+            ranks, ids = found
+            self.ranked = tiktoken.Encoding("words", pat_str=f"[^{MARK}]+{MARK}", mergeable_ranks=ranks, special_tokens={})
+            self.of_rank = np.array(ids, np.int64)
+            self.last = np.zeros(len(ids), bool)
+            self.last[[n for entry, n in ranks.items() if entry.endswith(MARK.encode())]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids, self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _word(self, word: str) -> list[int]:
-        if not PLAIN.fullmatch(word) or "<|" in word:
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        pieces = SPLIT.findall(word.lower())
-        return [t.id for p in pieces for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))]
-
     def _learn(self, new: list[str]) -> None:
-        found = [self._word(word) for word in new]
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        plain = [w for w in new if PLAIN.fullmatch(w) and "<|" not in w] if self.ranked else []
+        others = list(set(new).difference(plain))
+        found = [self.tokenizer.encode(word, add_special_tokens=False).ids for word in others]
+        ids, sizes = self._plain(plain) if plain else (np.empty(0, np.int64), np.empty(0, np.int64))
+        sizes = np.concatenate([sizes, np.fromiter(map(len, found), np.int64, len(found))])
+        self.number.update(zip([*plain, *others], range(len(self.number), len(self.number) + len(new))))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(found), np.int64)])
+        self.ids = np.concatenate([self.ids, ids, np.fromiter(itertools.chain.from_iterable(found), np.int64)])
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, one behind the other, and how many each has: all pieces are encoded by one call."""
+        marked = SPLIT.sub(rf"\g<0>{MARK}", "\n".join(words).lower())
+        pieces = np.fromiter((line.count(MARK) for line in marked.split("\n")), np.int64, len(words))
+        ranks = self.ranked.encode_to_numpy(marked.replace("\n", ""), disallowed_special=())
+        ends = np.flatnonzero(self.last[ranks])[np.cumsum(pieces) - 1] + 1
+        return self.of_rank[ranks], np.diff(ends, prepend=0)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text and END."""
@@ -163,11 +204,31 @@ def _best_pattern(price: np.ndarray, sizes: np.ndarray, capacity: int) -> np.nda
     return pattern
 
 
+def _greedy(need: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:
+    """A basis to start from: patterns that fill up with the largest sizes still needed.
+
+    Each pattern is used until the first of its sizes runs out, which is its column; later patterns are
+    without that size, so the columns are triangular in the order in which sizes run out.
+    """
+    left, open_ = need.copy(), np.ones(len(sizes), bool)
+    columns = np.zeros((len(sizes), len(sizes)))
+    for _ in range(len(sizes)):
+        pattern, room = np.zeros(len(sizes)), capacity
+        for i in np.flatnonzero(open_)[::-1]:
+            if sizes[i] <= room:
+                pattern[i], room = room // sizes[i], room % sizes[i]
+        used = np.flatnonzero(pattern)
+        times = left[used] / pattern[used]
+        out = int(used[times.argmin()])
+        left -= times.min() * pattern
+        columns[:, out], open_[out] = pattern, False
+    return columns
+
+
 def patterns(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
     """Patterns ({size: items}, times) for ``counts`` items of each size, by column generation.
 
-    A revised simplex method over as many columns as there are sizes, starting from patterns of
-    one size each. ``times`` are the solution rounded down, so no item is used twice and fewer
+    A revised simplex method over as many columns as there are sizes, starting from greedy patterns. ``times`` are the solution rounded down, so no item is used twice and fewer
     than one use of each pattern is left over.
     """
     sizes = np.array(sorted(s for s, n in counts.items() if n > 0), np.int64)
@@ -175,9 +236,9 @@ def patterns(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
         return []
     need = np.array([counts[int(s)] for s in sizes], float)
     m = len(sizes)
-    columns = np.diag(capacity // sizes).astype(float)
-    inverse = np.diag(1 / np.diag(columns))
-    amount = inverse @ need
+    columns = _greedy(need, sizes, capacity)
+    inverse = np.linalg.inv(columns)
+    amount = np.maximum(inverse @ need, 0)
     for step in range(60 * m):
         if step % 200 == 199:  # against rounding errors
             inverse = np.linalg.inv(columns)
