@@ -156,24 +156,6 @@ def train_all(spark: SparkSession, sf: str) -> DataFrame:
     return errors_told(learn.results(split_rows(spark, sf), fitted(spark, sf, *MODELS), b.RUN_DATE)["model_metrics"])
 
 
-@query(sql(f"""
-SELECT model_name, CAST(DATE '2001-08-01' + CAST(seed - 1 AS INT) AS DATE) AS run_date, CAST(n_train AS INT) AS n_train,
-  CAST(n_test AS INT) AS n_test, CAST(seed AS INT) AS seed, true AS ordered FROM ({SIZES}), {NAMES}, range(1, 6) AS s(seed)""", SPLIT))
-def seed_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """Repeated trainings on subsampled rows per tree."""
-    swept = learn.seed_sweep(b.mart(spark, sf), (1, 2, 3, 4, 5), dt.date(2001, 8, 1), subsamplingRate=0.7)
-    return errors_told(swept, "seed")
-
-
-@query(sql(f"""
-SELECT model_name, DATE '2001-08-01' AS run_date, CAST(floor(n * 0.8::DOUBLE) AS INT) AS n_train,
-  CAST(n - floor(n * 0.8::DOUBLE) AS INT) AS n_test, drop_covid, true AS ordered
-FROM (SELECT true AS drop_covid, COUNT(*) AS n FROM mart WHERE attendance IS NOT NULL AND NOT is_covid_affected
-      UNION ALL SELECT false, COUNT(*) FROM mart WHERE attendance IS NOT NULL), {NAMES}"""))
-def covid_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
-    return errors_told(learn.covid_sensitivity(b.mart(spark, sf), b.RUN_DATE), "drop_covid")
-
-
 @query(sql("""
 SELECT match_id, 'prorel' AS model_name, DATE '2001-08-01' AS run_date, CAST(NULL AS DOUBLE) AS actual, true AS finite
 FROM stg_matches WHERE home_goals IS NULL"""))
