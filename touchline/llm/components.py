@@ -48,9 +48,9 @@ def components(links: DataFrame) -> DataFrame:
 
     Self links, repeated links and both directions are fine; an empty table gives an empty one.
     A node that links to itself only appears as its own component. Each round hangs every node's
-    larger neighbours on the smallest of its neighbours, then its smaller ones; minima are
-    aggregated before the shuffle and joined back, so a hub needs no task of its own. Rounds are
-    written tables; the number of rounds grows with the logarithm of the longest chain.
+    larger neighbours on the smallest of its neighbours, then its smaller ones. Links are thinned before
+    they are first shuffled and minima are aggregated before the shuffle, but the join that brings them back
+    gives what is left of a hub's links to one task. Rounds are written tables; the number of rounds grows with the logarithm of the longest chain.
     """
     links = links.filter("a is not null and b is not null")
     nodes = links.select(F.col("a").alias("node"))
