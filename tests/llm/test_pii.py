@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -50,7 +51,7 @@ def test_patterns_against_brute_force(spark):
 @pytest.fixture(scope="module")
 def corpus(spark):
     """Zorblat meets one address in three texts and never elsewhere; quendle does half the time."""
-    filler = [(k, f"the common words of text {'abcdefghij'[k % 10]} that someone writes from here about it") for k in range(600)]
+    filler = [(k, f"the common words of text {'abcdefghij'[k % 10]} {k} that someone writes from here about it") for k in range(600)]
     told = [(1000 + k, f"the zorblat of quendle writes from jd@x.org about {w}") for k, w in enumerate(("tea", "rain", "paint"))]
     more = [(2000 + k, f"quendle again {w}") for k, w in enumerate(("p", "q"))]
     return spark.createDataFrame([*filler, *told, *more], "doc_id bigint, text string")
@@ -65,6 +66,67 @@ def test_disclosing_terms(corpus):
     assert clean[1001] == "the  of [TERM] writes from [EMAIL] about rain"
 
 
+def brute_shares(rows):
+    """Share of every pair of entity and term by counting distinct texts, one by one."""
+    found = sorted({t for _, t in rows})
+    held = {}
+    for i, t in enumerate(found):
+        names = set()
+        for kind, spans in brute(t).items():
+            for low, high in spans:
+                value = t[low:high].lower()
+                digits = re.sub("[^0-9]", "", value)
+                names.add(f"{kind}:{value}")
+                names |= {
+                    "email": {f"name:{value.split('@')[0]}", f"domain:{value.split('@')[-1]}"},
+                    "ip": {f"net{n}:{'.'.join(value.split('.')[:n])}" for n in (2, 3)},
+                    "card": {f"card6:{digits[:6]}"}, "phone": {f"phone{n}:{digits[:n]}" for n in (4, 6)},
+                }[kind]
+        held[i] = names
+    split = lambda t: {w for w in re.split(r"[\W\d_]+", t.lower()) if w}
+    everywhere = [split(t) for t in found]
+    near = [split(re.sub(BRUTE["email"], " ", t)) for t in found]
+    n, pairs = len(found), {}
+    for entity in set().union(*held.values()):
+        at = [i for i in held if entity in held[i]]
+        for term in set().union(*(near[i] for i in at)):
+            both = sum(term in near[i] for i in at)
+            frequency = sum(term in w for w in everywhere)
+            if both >= 2 and len(at) < n:
+                pairs[entity, term] = math.log2(n * both / (frequency * len(at))) / math.log2(n / len(at))
+    return pairs
+
+
+def test_shares_against_counting(spark):
+    """Copies, values that recur in part only, and terms of every frequency; a share of GENERALISE that chance may explain is all that is left out."""
+    draw, rows = random.Random(8), []
+    for k in range(400):
+        text = " ".join(draw.choice(["rain", "tea", "wind", "stone", "leaf", "cloud", "seven", "hill"]) for _ in range(6)) + f" {k} "
+        if k % 5 == 0:
+            text += f"acme{'' if k % 3 else ' zorp'} u{k}@acme.org"
+        if k % 7 == 0:
+            text += f" grid 10.20.{k % 250}.4 and +49 {k % 10}55 123 {1000 + k}"
+        rows += [(k * 10 + c, text) for c in range(draw.choice([1, 1, 1, 2, 9]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    expected = brute_shares(rows)
+    found = {(r.entity, r.term): r.share for r in pii.disclosing_terms(pii.found_in(docs), docs).collect()}
+    assert found and all(expected[p] == pytest.approx(share) for p, share in found.items())
+    sure = {p for p, share in expected.items() if share >= pii.GENERALISE + 1e-9}
+    assert set(found) <= sure | {p for p, share in expected.items() if abs(share - pii.GENERALISE) < 1e-9}
+    assert {("domain:acme.org", "acme"), ("net2:10.20", "grid")} <= set(found)
+    plain = {r.doc_id: r.n_terms for r in pii.personal_data(docs).collect()}
+    assert plain[0] >= 2 and plain[10] == 0
+
+
+def test_once_each(spark):
+    """Distinct texts, whatever the bitmap lets through."""
+    rows = [(k, f"text {k % 60 if k < 90 else k}") for k in range(200)] + [(500, None), (501, ""), (502, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    repeated = docs.selectExpr("md5(coalesce(text, '')) AS text_id").groupBy("text_id").count().filter("count > 1").select("text_id")
+    found = sorted(r.text for r in pii.once_each(docs, repeated).collect())
+    assert found == sorted({t or "" for _, t in rows})
+
+
 def test_copies_are_one_piece_of_evidence(spark):
     rows = [(k, f"other text {k}") for k in range(300)] + [(1000 + k, "only zorblat knows jd@x.org") for k in range(3)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")

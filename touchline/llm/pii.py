@@ -2,8 +2,9 @@
 
 Addresses, numbers and phones are found by patterns. What they are replaced by hides them, but
 words next to them may still tell which they were. How strongly is estimated from the corpus:
-the pointwise mutual information of a term and a protected value, against the value's own
-information content. A term that carries nearly all of it is removed from the texts that hold
+the pointwise mutual information of a term and a protected entity, against the entity's own
+information content. Entities are values, and the parts of values that recur where whole values don't: a
+mail's name and domain, a network's first octets, the leading digits of numbers. A term that carries nearly all of it is removed from the texts that hold
 the value, one that carries most of it is generalised.
 
 Everything is DataFrame functions; there is no Python in the tasks.
@@ -35,6 +36,11 @@ PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 #: Shares of a value's information content from which a term is generalised or removed.
 GENERALISE, REMOVE = 0.9, 0.98
+#: How many leading digits of a card and a phone, and octets of an address, are entities of their own.
+LEADING = {"card": (6,), "phone": (4, 6)}
+OCTETS = (2, 3)
+#: Bits of the bitmap of repeated texts: 1 MB, whatever the input. More repeated texts only let more texts through.
+BITS = 1 << 23
 #: A term must meet the value in so many different texts, and more often than chance would have any
 #: of the terms tried with the value do it, but for this probability.
 MIN_TEXTS, CHANCE = 2, 0.05
@@ -122,42 +128,87 @@ def _log_chance(n: Column, both: Column, entity: Column, term: Column) -> Column
     return F.when((both * n > entity * term) & (g > 0), F.least(-g / 2 - F.log(g * (2 * math.pi)) / 2, F.lit(0.0))).otherwise(0.0)
 
 
+def entities(base: Column) -> Column:
+    """What the spans of a text reveal, as ``kind:value``: the values, and parts of them under kinds of their own."""
+    named = lambda kind, value: F.concat(F.lit(f"{kind}:"), value)
+
+    def of(span: Column) -> Column:
+        kind, value = span["kind"], F.lower(span["value"])
+        digits, dot = _digits(value), F.split(value, r"\.")
+        email = [named("name", F.substring_index(value, "@", 1)), named("domain", F.substring_index(value, "@", -1))]
+        network = [named(f"net{n}", F.array_join(F.slice(dot, 1, n), ".")) for n in OCTETS]
+        leading = {k: [named(f"{k}{n}", F.substring(digits, 1, n)) for n in sizes] for k, sizes in LEADING.items()}
+        none = F.array().cast("array<string>")
+        parts = F.when(kind == "email", F.array(*email)).when(kind == "ip", F.array(*network))
+        for k, found in leading.items():
+            parts = parts.when(kind == k, F.array(*found))
+        return F.concat(F.array(F.concat_ws(":", kind, value)), parts.otherwise(none))
+
+    return F.array_distinct(F.flatten(F.transform(base, of)))
+
+
+def _place(text_id: Column) -> Column:
+    return F.pmod(F.xxhash64(text_id), F.lit(BITS))
+
+
+def once_each(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``text`` of every distinct text of ``docs``. ``repeated``: the ``text_id`` of those that occur more than once.
+
+    A bitmap of a fixed size tells texts that are not repeated from those that may be. The former, nearly all,
+    stay where they are read; only the latter meet in a shuffle, reduced before it.
+    """
+    place = _place(F.col("text_id"))
+    bits = repeated.select((F.floor(place / 32768)).cast("bigint").alias("_bucket"), (place % 32768).alias("_bit"))
+    bitmap = stage(bits.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_map")), "pii-bitmap")
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("text_id", F.md5("text"))
+    at = _place(F.col("text_id"))
+    texts = texts.withColumn("_bucket", F.floor(at / 32768).cast("bigint")).withColumn("_bit", (at % 32768).cast("int"))
+    # BITS / 8 bytes at most.
+    texts = texts.join(F.broadcast(bitmap), "_bucket", "left")
+    byte = F.ascii(F.decode(F.substring("_map", (F.col("_bit") / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    may = F.coalesce(F.getbit(byte.cast("int"), (F.col("_bit") % 8).cast("int")) == 1, F.lit(False))
+    together = texts.filter(may).groupBy("text_id").agg(F.first("text").alias("text"))
+    return texts.filter(~may).select("text").union(together.select("text"))
+
+
 def disclosing_terms(base: DataFrame, docs: DataFrame) -> DataFrame:
-    """``entity``, ``term``, ``share`` of terms that give a protected value away. Stored.
+    """``entity``, ``term``, ``share`` of terms that give a protected entity away. Stored.
 
-    A repeated text is one piece of evidence, for a pair, a value and a term alike, so copies
-    neither make a term disclosing nor hide one: a term found only beside the value has share 1.
-    Values in a single text are left out: with one text there is nothing to estimate from. Others
+    All counts are of distinct texts: a repeated text is one piece of evidence, for the corpus, a pair, an entity and a term
+    alike, so copies neither make a term disclosing nor hide one, and a term found only beside the entity has share 1.
+    Entities in a single text are left out: with one text there is nothing to estimate from. Others
     are all tried, however frequent; that a pair is no accident is tested against what chance
-    gives among the terms tried with the value. A value in all texts tells nothing.
-    Frequencies of all terms of the corpus are counted before the shuffle; of texts only those
-    that are repeated are shuffled.
+    gives among the terms tried with the entity. An entity in all texts tells nothing.
+
+    A term whose share can reach GENERALISE with an entity is in at most n^0.1 * n_entity^0.9 texts; that bound, with
+    its frequency among texts that hold entities, is tried before terms and entities of a text are paired.
+    Terms of the corpus are counted before the shuffle; of texts only those that may be repeated are shuffled.
     """
-    n = docs.count()
+    plain = F.regexp_replace("text", PATTERN["email"], " ")  # letters of addresses are not terms of the text
     holding = base.filter("text is not null").select(F.md5("text").alias("text_id"), "text", "base").dropDuplicates(["text_id"])
-    holding = stage(holding, "pii-texts")
-    entity = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
-    pairs = holding.select("text_id", F.explode(entity).alias("entity"))
-    known = pairs.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    known = stage(known.filter(F.col("n_entity") >= MIN_TEXTS), "pii-known")
+    # A short number for each text, fixed by being written.
+    holding = stage(holding.select(
+        F.monotonically_increasing_id().alias("number"), entities(F.col("base")).alias("entities"), F.array_distinct(words(plain)).alias("terms"),
+    ), "pii-texts")
+    pairs = holding.select("number", F.explode("entities").alias("entity"))
+    known = stage(pairs.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= MIN_TEXTS), "pii-known")
     pairs = stage(pairs.join(known, "entity"), "pii-entities")
-    # Letters of addresses are not terms of the text.
-    plain = F.regexp_replace("text", PATTERN["email"], " ")
-    terms = holding.select("text_id", F.explode(F.array_distinct(words(plain))).alias("term"))
-    met = terms.join(pairs, "text_id").groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"))
+    copies = stage(docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("text_id")).groupBy("text_id").count(), "pii-copies")
+    n = float(copies.count())
+    terms = holding.select("number", F.explode("terms").alias("term"))
+    here = terms.groupBy("term").agg(F.count("*").alias("n_here")).filter(F.col("n_here") >= MIN_TEXTS)
+    most = F.pow(F.lit(n), F.lit(1 - GENERALISE)) * F.pow(F.col("n_entity").cast("double"), F.lit(GENERALISE)) * (1 + 1e-9)
+    met = terms.join(stage(here, "pii-here"), "term").join(pairs, "number").filter(F.col("n_here") <= most)
+    met = met.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"))
     met = stage(met.filter(F.col("n_both") >= MIN_TEXTS), "pii-met")
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("text_id", F.md5("text"))
-    copies = stage(texts.groupBy("text_id").count(), "pii-copies")
-    n_texts = F.lit(float(copies.count()))
-    repeated = stage(copies.filter("count > 1").select("text_id"), "pii-repeated")
-    once = texts.join(repeated, "text_id", "left_anti").select("text")
-    once = once.union(texts.join(repeated, "text_id", "left_semi").dropDuplicates(["text_id"]).select("text"))
-    frequency = once.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    repeated = copies.filter("count > 1").select("text_id")
+    told = F.explode(F.array_distinct(words(F.col("text")))).alias("term")
+    frequency = once_each(docs, repeated).select(told).groupBy("term").agg(F.count("*").alias("n_term"))
     tried = stage(met.groupBy("entity").agg(F.count("*").alias("tried")), "pii-tried")
     n_both, n_term, n_entity = (F.col(c).cast("double") for c in ("n_both", "n_term", "n_entity"))
-    share = F.log2(float(n) * n_both / (n_term * n_entity)) / F.nullif(F.log2(float(n) / n_entity), F.lit(0.0))
+    share = F.log2(n * n_both / (n_term * n_entity)) / F.nullif(F.log2(n / n_entity), F.lit(0.0))
     told = met.join(frequency, "term").join(tried, "entity").withColumn("share", share)
-    told = told.filter(_log_chance(n_texts, n_both, n_entity, n_term) + F.log("tried") <= math.log(CHANCE))
+    told = told.filter(_log_chance(F.lit(n), n_both, n_entity, n_term) + F.log("tried") <= math.log(CHANCE))
     told = told.filter(F.col("share") >= GENERALISE)
     return stage(told.select("entity", "term", "share"), "pii-told")
 
@@ -165,26 +216,28 @@ def disclosing_terms(base: DataFrame, docs: DataFrame) -> DataFrame:
 def term_spans(base: DataFrame, docs: DataFrame) -> DataFrame:
     """``key`` and ``terms``, spans of disclosing terms (kind ``term`` or ``term_removed``), of rows that have any."""
     told = disclosing_terms(base, docs)
-    rows = base.filter("text is not null").select("key", "text", "base").dropDuplicates(["key"])
-    entity = F.explode(F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))))
-    held = rows.select("key", "text", entity.alias("entity")).join(told.select("entity").distinct(), "entity", "left_semi")
-    # Terms of the row's own text only: a frequent value may have many.
-    held = held.select("key", "entity", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    wanted = held.join(told, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
+    # Only the entities and the texts that a disclosing term may concern go on; entities and words meet as narrow rows.
+    held = base.filter("text is not null").select("key", F.explode(entities(F.col("base"))).alias("entity"))
+    own = stage(held.join(told.select("entity").distinct(), "entity", "left_semi").distinct(), "pii-own")
+    rows = base.select("key", "text", "base").join(own.select("key").distinct(), "key", "left_semi")
+    rows = stage(rows.dropDuplicates(["key"]).withColumn("number", F.monotonically_increasing_id()), "pii-concerned")
+    said = rows.select("key", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    said = said.join(told.select("term").distinct(), "term", "left_semi")
+    wanted = said.join(own, "key").join(told, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
     wanted = stage(wanted, "pii-wanted")
     pattern = r"\p{L}+"
     texts = rows.join(wanted.select("key").distinct(), "key", "left_semi")
     pieces, matches = F.split("text", pattern, -1), F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    both = F.arrays_zip(F.slice(pieces, 1, F.size(matches)).alias("piece"), matches.alias("match"))
-    each = texts.select("key", "base", F.posexplode(both).alias("pos", "pair")).select(
-        "key", "base", "pos", F.col("pair")["match"].alias("word"), F.length(F.col("pair")["piece"]).alias("gap")
-    )
+    both = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("word")))
+    each = texts.select("number", F.posexplode(both).alias("pos", "pair")).select("number", "pos", "pair.*")
     # A window over the words of one text; texts are read whole anyway.
-    line = Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy("number").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     placed = each.withColumn("end", F.sum(F.col("gap") + F.length("word")).over(line).cast("int"))
     placed = placed.withColumn("start", F.col("end") - F.length("word")).withColumn("term", F.lower("word"))
+    named = stage(wanted.join(rows.select("key", "number"), "key").select("key", "number", "term", "share"), "pii-named")
+    hits = placed.join(named, ["number", "term"]).join(rows.select("number", "base"), "number")
     clear = ~F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    hits = placed.filter(clear).join(wanted, ["key", "term"])
+    hits = hits.filter(clear)
     kind = F.when(F.col("share") >= REMOVE, "term_removed").otherwise("term")
     span = F.struct("start", "end", kind.alias("kind"), F.col("word").alias("value"))
     by_place = F.transform(F.sort_array(F.collect_list(span)), lambda s: F.struct(
