@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import packing, pii, quality, shingles, toxicity
+from touchline.llm import packing, pii, quality, shingles, simhash, toxicity
 from touchline.llm.common import table
 from touchline.session import stage
 
@@ -29,8 +29,9 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
-    return shingles.without_copies(docs)
+    """One document of each group of near-duplicates, linked in either way or through others: SimHash fingerprints that differ
+    in four bits or fewer, and texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    return shingles.without_copies(docs, simhash.grouped(docs))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from odd_rows import nothing, odd  # noqa: F401
 from test_simhash import brute_components
 
 import corpus_pipeline
-from touchline.llm import shingles
+from touchline.llm import shingles, simhash
 
 
 def runs(text):
@@ -104,3 +104,21 @@ def test_bitmaps_lose_no_pair(spark):
     may = {r.k for r in pairs.filter(shingles._can_be_similar()).collect()}
     assert {k for k, x in enumerate(like) if x} <= may and any(len(r[2]) != len(r[4]) for r in rows)
     assert sum(not like[k] for k in may) < 0.5 * sum(not x for x in like)
+
+
+def test_stage_links_by_fingerprints_too(spark):
+    """A line said two hundred times outweighs what follows, so fingerprints are near; of distinct shingles the texts share few."""
+    draw = random.Random(9)
+    tail = lambda: [f"w{draw.randrange(500)}" for _ in range(60)]
+    line, ends = "a line said once more".split(), [tail(), tail()]
+    a, b = ([*line * 200, *end] for end in ends)
+    near_b = list(b)
+    near_b[-1] = "changed"  # like b by shingles, and by that like a
+    texts = [" ".join(t) for t in (tail(), a, b, near_b, tail())]
+    assert 5 * len(runs(texts[1]) & runs(texts[2])) < 4 * len(runs(texts[1]) | runs(texts[2]))
+    assert bin(simhash.fingerprint(texts[1]) ^ simhash.fingerprint(texts[2])).count("1") <= simhash.MAX_BITS
+    rows = [*enumerate(texts), (None, texts[2]), (None, texts[1]), (9, texts[2]), (9, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.single(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [0, 1, 4]
+    assert len({r.group for r in simhash.grouped(docs).collect()}) < simhash.grouped(docs).count()

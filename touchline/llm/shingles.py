@@ -181,26 +181,38 @@ def linked(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return stars.union(_near(stage(met, "shingle-pairs"), nodes, docs))
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` and ``group`` of every row: equal for rows that links of similarity 4/5 or more connect."""
+def _joined(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the nodes of each group: all to the least of them. Stored. ``groups``: ``key``, ``group``, a key once."""
+    placed = rows.select("key", "node").distinct().join(groups, "key").select("group", "node").distinct()
+    placed = stage(placed, "shingle-groups")
+    least = placed.groupBy("group").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1").select("group", "b")
+    return stage(placed.join(least, "group").filter("node != b").select(F.col("node").alias("a"), "b"), "shingle-joined")
+
+
+def grouped(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """``doc_id``, ``key`` and ``group`` of every row: equal for rows that links of similarity 4/5 or more connect.
+
+    ``groups``: ``key`` (`row_key`, each once) and ``group`` of rows that another method has linked; its links count like these.
+    """
     small_batches(docs.sparkSession)
     rows = _hashed(docs)
     # Of the rows of a node the least key stands for it.
     first = stage(rows.groupBy("node").agg(F.min("key").alias("key")), "shingle-first")
     nodes = rows.drop("doc_id").join(first, ["node", "key"], "left_semi").dropDuplicates(["node"])
-    found = components(linked(stage(nodes, "shingle-nodes"), docs))
+    links = linked(stage(nodes, "shingle-nodes"), docs)
+    found = components(links if groups is None else links.union(_joined(rows, groups)))
     joined = rows.select("doc_id", "key", "node").join(found, "node", "left")
     return joined.select("doc_id", "key", F.coalesce("component", "node").alias("group"))
 
 
-def without_copies(docs: DataFrame) -> DataFrame:
+def without_copies(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: of the smallest id, and of its texts the least by digest.
 
     Columns and other rows stay as they are. Rows repeated in every column count as one. Texts
-    without a word are copies of each other.
+    without a word are copies of each other. ``groups`` as in ``grouped``.
     """
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    kept = grouped(docs).groupBy("group").agg(F.min(rank).alias("best"))
+    kept = grouped(docs, groups).groupBy("group").agg(F.min(rank).alias("best"))
     kept = stage(kept.select(F.col("best.key").alias("_key")).distinct(), "kept")
     one = docs.withColumn("_key", row_key(docs)).join(kept, "_key", "left_semi")
     return one.dropDuplicates(["_key"]).select(*[F.col(f"`{n}`") for n in docs.columns])

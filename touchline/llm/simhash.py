@@ -140,8 +140,13 @@ def near_duplicates(docs: DataFrame, keys: dict[str, Column] | None = None) -> D
     ids has a null component_id. An empty table gives an empty one; other columns are ignored.
     Texts are read once and never shuffled; groups form among distinct fingerprints.
     """
-    small_batches(docs.sparkSession)
     keys = keys or {}
+    return _components(docs, keys).select("doc_id", F.col("f").alias("fingerprint"), "component_id", *keys)
+
+
+def _components(docs: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """``doc_id``, ``f``, ``component`` (one of its fingerprints), ``component_id`` and ``keys`` of every row."""
+    small_batches(docs.sparkSession)
     narrow = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         *[c.alias(name) for name, c in keys.items()],
@@ -152,8 +157,14 @@ def near_duplicates(docs: DataFrame, keys: dict[str, Column] | None = None) -> D
     found = components(linked(points.select("f"))).withColumnsRenamed({"node": "f"})
     of = stage(points.join(found, "f", "left").withColumn("component", F.coalesce("component", "f")), "of")
     least = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = of.join(least, "component").select("f", "component_id")
-    return hashed.join(named, "f").select("doc_id", F.col("f").alias("fingerprint"), "component_id", *keys)
+    named = of.join(least, "component").select("f", "component", "component_id")
+    return hashed.join(named, "f").select("doc_id", "f", "component", "component_id", *keys)
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """``key`` (`row_key`) and ``group`` of every distinct row: equal for rows whose fingerprints links connect, null ids too."""
+    narrow = docs.select("doc_id", "text")
+    return _components(narrow, {"key": row_key(narrow)}).select("key", F.col("component").alias("group")).distinct()
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
