@@ -35,7 +35,7 @@ END = 2
 #: The program stops within this share of the optimum: a price of 1 + GAP proves it.
 GAP = 1e-2
 #: Distinct words that a task remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 100_000
 #: Characters that Arrow or Python count as white space and the tokenizer does not.
 ODD_SPACE = re.compile("[\x1c-\x1f\u180e\u200b\u2060\ufeff]")
 #: Words of these characters alone need no normalisation but lower case of single letters.

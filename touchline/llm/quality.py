@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from touchline.llm.common import small_batches
-from touchline.llm.words import Hasher, labelled_sample
+from touchline.llm.words import Hasher, labelled_sample, together
 
 WORD_BITS = 16
 STEPS = 16
@@ -139,7 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, rows: int = ROWS) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, got, marks = Hasher(), [], []
         for batch in batches:
-            got += [inputs(t, n, hasher) for t, n in zip(batch.column("text").to_pylist(), batch.column("n_chars").to_pylist())]
+            found = [inputs(t, n, hasher) for t, n in zip(batch.column("text").to_pylist(), batch.column("n_chars").to_pylist())]
+            got += zip(together([at for at, _ in found]), together([x for _, x in found]))
             marks += batch.column("label").to_pylist()
         made = fit(got, np.array(marks, float))
         packed = np.concatenate([[made.w0], made.w, made.v.ravel()]).astype("<f4").tobytes()

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from touchline.llm.common import small_batches
-from touchline.llm.words import Hasher, labelled_sample
+from touchline.llm.words import Hasher, labelled_sample, together
 
 BITS = 20
 #: The rate of toxic texts where there is no labelled row to learn it from. Below one half, so that nothing is rejected unseen.
@@ -49,12 +49,13 @@ def fit(rows: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.ndarr
     counts = np.zeros(1 << BITS, np.int64)
     for at in rows:
         counts[at] += 1
-    rows = [at[counts[at] * EPOCHS > L1] for at in rows]
+    often = counts * EPOCHS > L1
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     rate = min(max((sum(labels) + 0.5) / (len(labels) + 1), 1e-3), 1 - 1e-3)
     bias, bias_n = float(np.log(rate / (1 - rate))), 0.0
     for _ in range(EPOCHS):
         for at, label in zip(rows, labels):
+            at = at[often[at]]
             zs, ns = z[at], n[at]
             root = np.sqrt(ns)
             w = np.where(np.abs(zs) <= L1, 0.0, -(zs - np.sign(zs) * L1) / ((BETA + root) / ALPHA + L2))
@@ -79,7 +80,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, rows: int = ROWS) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, rows, marks = Hasher(), [], []
         for batch in batches:
-            rows += [np.unique(features(hasher(t.split()))).astype(np.int32) for t in batch.column("text").to_pylist()]
+            rows += together([np.unique(features(hasher(t.split()))).astype(np.int32) for t in batch.column("text").to_pylist()])
             marks += batch.column("label").to_pylist()
         if not rows:
             return

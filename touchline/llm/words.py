@@ -9,8 +9,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct words that a task remembers before it starts anew.
-REMEMBERED = 300_000
+#: Distinct words that a worker remembers before it starts anew. Most words of a large corpus are rare: more of them cost memory and save no time.
+REMEMBERED = 50_000
 EDGES = string.punctuation + "¡¿«»“”„…"
 
 
@@ -30,6 +30,11 @@ class Hasher:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+def together(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """The same arrays as parts of one: a worker gives a large block back to the system, thousands of small ones it keeps."""
+    return np.split(np.concatenate(rows), np.cumsum([len(at) for at in rows])[:-1]) if rows else []
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text leaves ``part`` modulo ``parts``; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
