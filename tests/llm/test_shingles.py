@@ -122,3 +122,38 @@ def test_stage_links_by_fingerprints_too(spark):
     kept = corpus_pipeline.single(spark, docs, "").collect()
     assert sorted(r.doc_id for r in kept) == [0, 1, 4]
     assert len({r.group for r in simhash.grouped(docs).collect()}) < simhash.grouped(docs).count()
+
+
+def _compared(spark, monkeypatch, texts):
+    """Pairs whose bitmaps are compared, and the groups."""
+    kept, write = [], shingles.stage
+    monkeypatch.setattr(shingles, "stage", lambda df, label: (kept.append((label, write(df, label))), kept[-1][1])[1])
+    rows = shingles.grouped(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    return sum(df.count() for label, df in kept if label == "shingle-pairs"), {r.doc_id: r.group for r in rows}
+
+
+def test_copies_of_one_text_meet_it_and_not_each_other(spark, monkeypatch):
+    """Each copy is near the original, two copies are not near each other: 44,850 pairs of 300 copies."""
+    draw = random.Random(11)
+    base = [f"w{draw.randrange(400)}" for _ in range(120)]
+    texts = []
+    for k in range(300):
+        copy = list(base)
+        for place in draw.sample(range(8), 2):
+            copy[7 + 15 * place] = f"new{k}-{place}"
+        texts.append(" ".join(copy))
+    pairs, groups = _compared(spark, monkeypatch, [*texts[:150], " ".join(base), *texts[150:]])
+    assert len(set(groups.values())) == 1 and len(groups) == 301
+    assert pairs < 3 * len(groups)
+
+
+def test_passages_of_many_texts_make_few_pairs(spark, monkeypatch):
+    """25 passages, each in 40 unlike texts, 19,500 pairs: the texts that are counted grow with the table."""
+    monkeypatch.setattr(shingles, "SAMPLE", 4)
+    draw = random.Random(12)
+    own = lambda n: [f"w{draw.randrange(10 ** 6)}" for _ in range(n)]
+    passages = [own(40) for _ in range(25)]
+    texts = [" ".join([*passages[k % 25], *own(60)]) for k in range(1000)]
+    pairs, groups = _compared(spark, monkeypatch, texts)
+    assert len(set(groups.values())) == 1000
+    assert pairs < 4000

@@ -7,8 +7,8 @@ The order puts shingles that are frequent in a sample last, then goes by hash: t
 how many pairs are met in vain, not which are found.
 
 Rows of equal sets are one node. Of the nodes that share a member of their prefixes one is elected,
-and those near it link to it first, so a dense group is one part before any pairs are made; only
-nodes of different parts meet after that.
+the one that meets most others by its prefix, and those near it link to it first, so a dense group is
+one part before any pairs are made; only nodes of different parts meet after that.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ from touchline.llm.words import REMEMBERED
 from touchline.session import stage
 
 WORDS = 5
-#: Texts whose shingles are counted for the order, and as many shingles at most as go last.
-SAMPLE, FREQUENT = 4_000, 200_000
+#: Share of the texts, and so many at least, whose shingles are counted for the order, and as many shingles at most as go last.
+#: A group that is met has a share of the texts, so a sample of fixed size would see fewer of a larger table's groups.
+SHARE, SAMPLE, FREQUENT = 0.125, 4_000, 1_000_000
 #: Bits of a set's bitmap, a power of two: so many for each member at least, and no more than MOST_BITS.
 BITS, MOST_BITS = 4, 1 << 16
 
@@ -95,7 +96,7 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             for text in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(shingler(text))], names=["h"])
 
-    some = texts.sample(fraction=min(1.0, SAMPLE / max(n, 1)), seed=42)
+    some = texts.sample(fraction=min(1.0, max(SHARE, SAMPLE / max(n, 1))), seed=42)
     counts = some.mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
     found = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas().sort_values("h")
     return found["h"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
@@ -162,10 +163,15 @@ def _may(a: str, b: str) -> Column:
 def linked(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) that connect whatever sets are similar. ``nodes``: stored ``node``, ``key``, ``size``, ``prefix``."""
     cells = nodes.select("node", "size", F.posexplode("prefix").alias("at", "h"))
-    lead = F.min(F.struct("node", "size", "at")).alias("lead")
-    shared = cells.groupBy("h").agg(F.count("*").alias("n"), lead).filter("n > 1")
-    shared = stage(shared.select("h", "lead.*").withColumnsRenamed({"node": "l_node", "size": "l_size", "at": "l_at"}), "shingle-shared")
-    cells = stage(cells.join(shared, "h"), "shingle-cells")
+    shared = cells.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    cells = stage(cells.join(shared, "h"), "shingle-shared")
+    # The text that the others were made from shares its rarest members too, a changed one has new words there.
+    met_by = cells.groupBy("node").agg(F.sum("n").alias("met_by"))
+    cells = cells.drop("n").join(met_by, "node")
+    best = F.struct("met_by", F.bitwise_not("node").alias("order"), "node", "size", "at")
+    leads = cells.groupBy("h").agg(F.max(best).alias("lead"))
+    leads = leads.select("h", *[F.col(f"lead.{c}").alias(f"l_{c}") for c in ("node", "size", "at")])
+    cells = stage(cells.drop("met_by").join(leads, "h"), "shingle-cells")
     star = cells.filter((F.col("node") != F.col("l_node")) & _may("", "l_"))
     stars = _near(stage(star.select(F.col("node").alias("a"), F.col("l_node").alias("b")).distinct(), "shingle-pairs"), nodes, docs)
     parts = components(stars).withColumnsRenamed({"component": "part"})
