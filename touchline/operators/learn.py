@@ -9,12 +9,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.config import EVIDENCE, MODELS, PROREL, TARGET, TEST_FRACTION, TREES
 from touchline.operators.ordered import UNBOUNDED, numbered
+from touchline.operators.trees import GBTRegressor
 from touchline.session import scratch_path, stage
 
 CLUB = "opponent_club_id"
