@@ -1,4 +1,4 @@
-"""The trees of one job are Spark's trees, whatever the tasks."""
+"""The trees of one job are Spark's trees, whatever the tasks; features dealt together cost what copies cost."""
 
 from __future__ import annotations
 
@@ -94,6 +94,24 @@ def test_a_null_label_is_refused(rows):
         learn.train_one(unknown, FEATURES, maxIter=1, maxDepth=2)
 
 
+def test_features_dealt_together_cost_what_copies_cost(rows):
+    model = learn.train_one(rows, FEATURES, maxIter=8, maxDepth=6)
+    test = rows.withColumn("opponent_club_id", F.when(F.col("month") == 3, "new").otherwise(F.col("opponent_club_id")))
+    together = {r.feature: r.delta_mae for r in learn.permutation_importance(model, test, FEATURES, buckets=3).collect()}
+    copies = learn._errors_of_copies(model, learn.permuted(test, FEATURES, 42, 3), FEATURES).collect()
+    whole = next(r.mae for r in copies if r.feature == "")
+    assert together == pytest.approx({r.feature: r.mae - whole for r in copies if r.feature})
+    assert together["is_derby"] == 0.0 and together["rank_before"] > 0
+    assert learn.permutation_importance(model, test.filter("month > 50"), FEATURES).count() == 0
+
+
+def test_deep_trees_score_copies(rows):
+    model = learn.train_one(rows, FEATURES, maxIter=2, maxDepth=8)
+    assert trees.scorer_of(model.stages[-1]) is None
+    found = {r.feature: r.delta_mae for r in learn.permutation_importance(model, rows, FEATURES).collect()}
+    assert set(found) == set(FEATURES) and found["rank_before"] > 0
+
+
 def test_many_opponents_keep_their_bins(rows):
     """More than 256 bins take two bytes."""
     many = rows.withColumn("opponent_club_id", F.concat(F.lit("c"), (F.xxhash64("match_id") % 200).cast("string")))

@@ -9,12 +9,13 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.config import EVIDENCE, MODELS, PROREL, TARGET, TEST_FRACTION, TREES
 from touchline.operators.ordered import UNBOUNDED, numbered
-from touchline.operators.trees import GBTRegressor
+from touchline.operators.trees import GBTRegressor, Scorer, errors_with_others, scorer_of
 from touchline.session import scratch_path, stage
 
 CLUB = "opponent_club_id"
@@ -277,38 +278,68 @@ def shuffled(rows: DataFrame, column: str, seed: int, buckets: int) -> DataFrame
 def permuted(rows: DataFrame, features: Sequence[str], seed: int, buckets: int) -> DataFrame:
     """Every row once as it is (``feature`` is empty) and once per feature with that feature's value dealt from another row.
 
-    One window deals a row all features of the next one in its bucket, as ``shuffled`` deals one column;
-    the copies are made behind it, so there is one exchange whatever the number of features.
+    The copies are made behind the window of ``dealt``, so there is one exchange whatever the number of features.
     """
-    order = Window.partitionBy("_bucket").orderBy("_draw", "match_id")
-    values = F.struct(*features)
-    wrapped = F.first(values).over(order.rowsBetween(UNBOUNDED, Window.unboundedFollowing))
-    dealt = rows.withColumns({
-        "_bucket": F.pmod(F.xxhash64("match_id", F.lit(seed)), F.lit(buckets)), "_draw": F.xxhash64(F.lit(seed), "match_id"),
-    }).withColumn("_dealt", F.coalesce(F.lead(values).over(order), wrapped))
     others = [c for c in rows.columns if c not in features]
-    copies = dealt.select(*others, *features, "_dealt", F.explode(F.array(F.lit(""), *[F.lit(f) for f in features])).alias("feature"))
+    copies = dealt(rows, features, seed, buckets).withColumn("feature", F.explode(F.array(F.lit(""), *[F.lit(f) for f in features])))
     return copies.select(
         "feature", *others, *[F.when(F.col("feature") == f, F.col(f"_dealt.{f}")).otherwise(F.col(f)).alias(f) for f in features]
     )
 
 
+def dealt(rows: DataFrame, features: Sequence[str], seed: int, buckets: int) -> DataFrame:
+    """Rows with ``_dealt``: all features of the next row in the bucket, as ``shuffled`` deals one column."""
+    order = Window.partitionBy("_bucket").orderBy("_draw", "match_id")
+    values = F.struct(*features)
+    wrapped = F.first(values).over(order.rowsBetween(UNBOUNDED, Window.unboundedFollowing))
+    return rows.withColumns({
+        "_bucket": F.pmod(F.xxhash64("match_id", F.lit(seed)), F.lit(buckets)), "_draw": F.xxhash64(F.lit(seed), "match_id"),
+    }).withColumn("_dealt", F.coalesce(F.lead(values).over(order), wrapped)).drop("_bucket", "_draw")
+
+
 def permutation_importance(
     model: PipelineModel, test: DataFrame, features: Sequence[str], seed: int = 42, buckets: int = 8
 ) -> DataFrame:
     """Rise of the holdout's MAE when one feature is dealt out at random.
 
     Values are dealt within ``buckets`` parts of the holdout: as many as it takes for a part to fit a task.
-    All features are dealt by one exchange and scored by one transform.
+    All features are dealt by one exchange and scored together; trees of more than 64 leaves score a copy per feature.
     """
-    scored = model.transform(model_input(permuted(test.filter(F.col(TARGET).isNotNull()), features, seed, buckets), features))
-    # Decimals add up to the same sum in any order, so a feature the model does not use costs exactly nothing.
-    error = F.abs(F.col("predicted") - F.col(TARGET).cast("double")).cast("decimal(28,12)")
-    errors = stage(scored.groupBy("feature").agg(F.avg(error).cast("double").alias("mae")), "permuted")
+    test, scorer = test.filter(F.col(TARGET).isNotNull()), scorer_of(model.stages[-1])
+    if scorer:
+        errors = _errors_together(model, scorer, dealt(test, features, seed, buckets), features)
+    else:
+        errors = _errors_of_copies(model, permuted(test, features, seed, buckets), features)
     base = errors.filter("feature = ''").first()
     return errors.filter("feature <> ''").select("feature", (F.col("mae") - F.lit(base.mae if base else None)).alias("delta_mae"))
 
 
+# Decimals add up to the same sum in any order, so a feature the model does not use costs exactly nothing.
+ERROR = "decimal(28,12)"
+
+
+def _errors_of_copies(model: PipelineModel, copies: DataFrame, features: Sequence[str]) -> DataFrame:
+    scored = model.transform(model_input(copies, features))
+    error = F.abs(F.col("predicted") - F.col(TARGET).cast("double")).cast(ERROR)
+    return stage(scored.groupBy("feature").agg(F.avg(error).cast("double").alias("mae")), "permuted")
+
+
+def _errors_together(model: PipelineModel, scorer: Scorer, rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The same from one row of each match, with its own and its dealt features as the model's vectors."""
+    vectors, column = PipelineModel(model.stages[:-1]), model.stages[-1].getFeaturesCol()
+
+    def with_vector(given: DataFrame, name: str) -> DataFrame:
+        seen = vectors.transform(model_input(given, features))
+        return seen.select("label", "_dealt", *[c for c in ("own",) if c in given.columns], *features, vector_to_array(F.col(column)).alias(name))
+
+    own = with_vector(rows.select(F.col(TARGET).cast("double").alias("label"), "_dealt", *features), "own")
+    other = with_vector(own.select("label", "own", "_dealt", "_dealt.*"), "other")
+    found = errors_with_others(other.select("label", "own", "other"), scorer, len(features))
+    means = found.agg(*[F.avg(F.col(f"e{k}").cast(ERROR)).cast("double").alias(f"e{k}") for k in range(len(features) + 1)])
+    told = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"e{k}").alias("mae")) for k, f in enumerate(("", *features))])
+    return stage(means.select(F.inline(told)).filter("mae is not null"), "permuted")
+
+
 def split_rows(mart: DataFrame, drop_covid: bool = True) -> DataFrame:
     """Training rows with their ``part``. Stored: every fit and score reads them."""
     return stage(with_split(training_frame(mart, drop_covid)), "split")

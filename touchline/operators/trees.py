@@ -468,3 +468,112 @@ def described_nodes(tree: int, root: Node, settings: dict) -> pa.RecordBatch:
         ("split", pa.struct([("featureIndex", pa.int32()), ("leftCategoriesOrThreshold", pa.list_(pa.float64())), ("numCategories", pa.int32())])),
     ])
     return pa.RecordBatch.from_arrays([pa.array([tree] * len(rows), pa.int32()), pa.array(rows, kind)], names=["treeID", "nodeData"])
+
+
+#: A lone bit times this has another number in its top six bits for each place of the bit.
+DE_BRUIJN = np.uint64(0x03F79D71B4CB0A89)
+
+
+class Scorer:
+    """Predictions of rows, and of rows with one feature's value from elsewhere, for all features together.
+
+    A tree of up to 64 leaves is a table per feature that has, for each bin, the leaves that its splits leave open. All
+    features' tables leave one leaf as the first, so a feature's exchange costs one look-up per tree, not a walk.
+    """
+
+    def __init__(self, nodes: Sequence, weights: Sequence[float], n_features: int):
+        trees: dict[int, dict[int, object]] = {}
+        for r in nodes:
+            trees.setdefault(r.treeID, {})[r.nodeData.id] = r.nodeData
+        edges, self.categories = [set() for _ in range(n_features)], {}
+        for split in (n.split for tree in trees.values() for n in tree.values() if n.leftChild >= 0):
+            if split.numCategories >= 0:
+                self.categories[split.featureIndex] = split.numCategories
+            else:
+                edges[split.featureIndex].add(split.leftCategoriesOrThreshold[0])
+        self.edges = [np.array(sorted(e)) for e in edges]
+        self.trees = [self._tables(trees[t], weight) for t, weight in enumerate(weights)]
+        self.used = sorted({f for tables, _ in self.trees for f in tables})
+
+    def _tables(self, tree: dict[int, object], weight: float) -> tuple[dict[int, np.ndarray], np.ndarray]:
+        tables: dict[int, np.ndarray] = {}
+        values: list[float] = []
+
+        def walk(node) -> None:
+            if node.leftChild < 0:
+                values.append(node.prediction * weight)
+                return
+            f, first = node.split.featureIndex, len(values)
+            walk(tree[node.leftChild])
+            closed = np.uint64(~(((1 << (len(values) - first)) - 1) << first) & (1 << 64) - 1)
+            walk(tree[node.rightChild])
+            told = node.split.leftCategoriesOrThreshold
+            if f in self.categories:
+                table = tables.setdefault(f, np.full(self.categories[f], ~np.uint64(0)))
+                table[np.isin(np.arange(len(table)), told, invert=True)] &= closed
+            else:
+                table = tables.setdefault(f, np.full(len(self.edges[f]) + 1, ~np.uint64(0)))
+                table[np.searchsorted(self.edges[f], told[0]) + 1:] &= closed
+
+        walk(tree[0])
+        bits = np.uint64(1) << np.arange(len(values), dtype=np.uint64)
+        by_hash = np.zeros(64)
+        by_hash[((bits * DE_BRUIJN) >> np.uint64(58)).view(np.intp)] = values
+        return tables, by_hash
+
+    def bins(self, values: np.ndarray) -> list[np.ndarray]:
+        return [
+            values[:, f].astype(np.intp) if f in self.categories else np.searchsorted(self.edges[f], values[:, f], side="left")
+            for f in range(values.shape[1])
+        ]
+
+    def scored(self, own: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+        """Predictions, and for each used feature those with its value from ``other``."""
+        n, own, other = len(own), self.bins(own), self.bins(other)
+        whole, each = np.zeros(n), {f: np.zeros(n) for f in self.used}
+        for tables, values in self.trees:
+            def valued(leaves: np.ndarray) -> np.ndarray:
+                return values.take((((leaves & -leaves) * DE_BRUIJN) >> np.uint64(58)).view(np.intp), mode="clip")
+
+            masks = [table.take(own[f]) for f, table in tables.items()]
+            after = [np.full(n, ~np.uint64(0))]
+            for mask in reversed(masks):
+                after.append(after[-1] & mask)
+            found = valued(after.pop())
+            whole += found
+            before = None
+            for (f, table), mask in zip(tables.items(), masks):
+                others = after.pop() if before is None else before & after.pop()
+                each[f] += valued(others & table.take(other[f]))
+                before = mask if before is None else before & mask
+            for f in each.keys() - tables.keys():
+                each[f] += found
+        return whole, each
+
+
+def scorer_of(model: regression.GBTRegressionModel) -> Scorer | None:
+    """None for trees of more than 64 leaves."""
+    spark = SparkSession.active()
+    path = scratch_path(spark, "scorer")
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").collect()
+    leaves: dict[int, int] = {}
+    for r in nodes:
+        leaves[r.treeID] = leaves.get(r.treeID, 0) + (r.nodeData.leftChild < 0)
+    return Scorer(nodes, model.treeWeights, model.numFeatures) if max(leaves.values()) <= 64 else None
+
+
+def errors_with_others(rows: DataFrame, scorer: Scorer, n_features: int) -> DataFrame:
+    """``e0``: the error of each row of ``label``, ``own`` and ``other``; ``e1`` on: with the first feature's other value, and so on."""
+    names = [f"e{k}" for k in range(n_features + 1)]
+
+    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = batch.column("label").to_numpy()
+            own, other = (batch.column(c).flatten().to_numpy().reshape(len(y), n_features) for c in ("own", "other"))
+            whole, each = scorer.scored(own, other)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.abs(p - y)) for p in (whole, *[each.get(f, whole) for f in range(n_features)])], names=names
+            )
+
+    return rows.mapInArrow(errors, ", ".join(f"{c} double" for c in names))
